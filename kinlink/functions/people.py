@@ -45,20 +45,17 @@ def match_id(doc_1: Column, doc_2: Column) -> Column:
     return F.concat(doc_1, F.lit("_"), doc_2)
 
 
-def _weighted(digit_at, count: int, top: int) -> Column:
-    return reduce(lambda x, y: x + y, [digit_at(i) * (top - i) for i in range(count)])
-
-
 def cpf_check_digits(base: Column) -> Column:
     """The two modulo-11 check digits for nine leading digits, as a two-character string."""
     digits = [F.substring(base, i + 1, 1).try_cast("int") for i in range(9)]
 
-    def check(total: Column) -> Column:
-        d = F.lit(11) - total % 11
-        return F.when(d >= 10, 0).otherwise(d)
+    def check(digits: list[Column]) -> Column:
+        # 11 - sum % 11, with 10 and 11 as 0.
+        weighted = [d * (len(digits) + 1 - i) for i, d in enumerate(digits)]
+        return reduce(lambda x, y: x + y, weighted) * 10 % 11 % 10
 
-    first = check(_weighted(lambda i: digits[i], 9, 10))
-    second = check(_weighted(lambda i: digits[i] if i < 9 else first, 10, 11))
+    first = check(digits)
+    second = check(digits + [first])
     return F.concat(first.cast("string"), second.cast("string"))
 
 
