@@ -21,11 +21,17 @@ def levenshtein_similarity(a: Column, b: Column) -> Column:
     return F.when(_both(a, b), F.lit(1.0) - edits / longest).otherwise(0.0)
 
 
-def levenshtein_ceiling(a: Column, b: Column) -> Column:
-    """Upper bound of the above from lengths alone: at least the length gap must be edited."""
-    gap = F.abs(F.length(F.lower(a)) - F.length(F.lower(b)))
+def levenshtein_at_least(a: Column, b: Column, similarity: Column) -> Column:
+    """Is the similarity of two non-empty texts at least this?
+
+    The most edits allowed follow from the lengths. A larger length gap decides at once, and
+    Spark's bounded levenshtein stops early.
+    """
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(_both(a, b), F.lit(1.0) - gap / longest).otherwise(0.0)
+    allowed = F.floor((1.0 - similarity) * longest + SLACK).cast("int")
+    gap = F.abs(F.length(F.lower(a)) - F.length(F.lower(b)))
+    edits = F.call_function("levenshtein", F.lower(a), F.lower(b), allowed)
+    return (allowed >= 0) & (gap <= allowed) & (edits >= 0)
 
 
 def _jaro_winkler_udf():
@@ -146,6 +152,9 @@ def combined_similarity(a: Column, b: Column) -> Column:
     )
 
 
-def combined_ceiling(a: Column, b: Column) -> Column:
-    """Upper bound of the above without Jaro-Winkler, which is at most 1."""
-    return F.when(_both(a, b), levenshtein_similarity(a, b) * 0.4 + 0.6).otherwise(0.0)
+def combined_possible(a: Column, b: Column, threshold: float) -> Column:
+    """Can the above reach the threshold? Jaro-Winkler, at most 1, is left out."""
+    needed = F.lit((threshold - 0.6) / 0.4)
+    if threshold <= 0:
+        return F.lit(True)
+    return _both(a, b) & levenshtein_at_least(a, b, needed)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 STRATEGIES = ("auto", "plain", "broadcast", "shuffle_hash", "salted")
 
 # Names of the technical columns.
-PASS, KEY, SUB, SUBKEY, CELL = "_pass", "_key", "_sub", "_subkey", "_cell"
+PASS, KEY, KEYS, SUB, SUBKEY, CELL = "_pass", "_key", "_keys", "_sub", "_subkey", "_cell"
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,8 @@ class SkewConfig:
     pair_budget: int = 25_000_000   # a key with more pairs than this is hot
     slice_rows: int = 5_000         # rows of one side in one grid cell
     max_hot_keys: int = 10_000      # bound of the broadcast list
+    tiny_bytes: int = 1 << 20       # a side below this needs no look for hot keys
+    spread_bytes: int = 256 << 20   # a side below this has few splits and is spread over the cores
 
 
 @dataclass(frozen=True)
@@ -47,29 +49,20 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    return 0 <= estimated_bytes(df) <= broadcast_limit(df)
+def with_passes(df: DataFrame, keys: list[Column] | Column) -> DataFrame:
+    """One row per pass, in columns `_pass` and `_key`, plus `_keys` when there are several.
 
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """A broadcast hint only where the estimate is below the session's limit."""
-    return F.broadcast(df) if fits_broadcast(df) else df
-
-
-def with_passes(df: DataFrame, keys: list[Column]) -> DataFrame:
-    """One row per pass, in columns `_pass` and `_key`, plus `_keys` when there are several."""
-    if len(keys) == 1:
+    `keys` is a list of columns or one array column; a row has no part in passes whose key is NULL.
+    """
+    if isinstance(keys, list) and len(keys) == 1:
         return df.withColumns({PASS: F.lit(0), KEY: keys[0]}).where(F.col(KEY).isNotNull())
-    keyed = df.withColumn("_keys", F.array(*keys))
-    return keyed.select("*", F.posexplode("_keys").alias(PASS, KEY)).where(F.col(KEY).isNotNull())
+    keyed = df.withColumn(KEYS, F.array(*keys) if isinstance(keys, list) else keys)
+    return keyed.select("*", F.posexplode(KEYS).alias(PASS, KEY)).where(F.col(KEY).isNotNull())
 
 
-def _first_agreeing(left: list[Column], right: list[Column]) -> Column:
-    """Index of the first attribute pair that agrees."""
-    chain = F
-    for i, (x, y) in enumerate(zip(left, right)):
-        chain = chain.when(x == y, i)
-    return chain
+def _first_agreeing(left: Column, right: Column) -> Column:
+    """Index of the first place at which two arrays agree."""
+    return (F.array_position(F.zip_with(left, right, lambda x, y: x == y), F.lit(True)) - 1).cast("int")
 
 
 def hot_keys(a: DataFrame, b: DataFrame, keys: list[str], cfg: SkewConfig) -> DataFrame:
@@ -86,6 +79,15 @@ def hot_keys(a: DataFrame, b: DataFrame, keys: list[str], cfg: SkewConfig) -> Da
     )
 
 
+def hot_small_side(small: DataFrame, keys: list[str], cfg: SkewConfig) -> DataFrame:
+    """Keys with many rows on the side that is broadcast; found without reading the other side."""
+    counts = small.groupBy(*keys).agg(F.count("*").alias("n"))
+    return (
+        counts.where(F.col("n") > cfg.slice_rows)
+        .orderBy(F.desc("n"), *keys).limit(cfg.max_hot_keys)
+    )
+
+
 def _refine(df: DataFrame, hot: DataFrame, finer: FinerKeys) -> DataFrame:
     """Rows of hot keys: one copy per finer attribute they have. Other rows: one copy, sub -1."""
     marked = df.join(F.broadcast(hot.select(PASS, KEY, F.lit(True).alias("_hot"))), [PASS, KEY], "left")
@@ -122,8 +124,8 @@ def _on_grid(df: DataFrame, hot: DataFrame, keys: list[str], side: int, cfg: Ske
 def pair_rows(
     a: DataFrame,
     b: DataFrame,
-    keys_a: list[Column],
-    keys_b: list[Column],
+    keys_a: list[Column] | Column,
+    keys_b: list[Column] | Column,
     residual=None,
     strategy: str = "auto",
     finer: FinerKeys | None = None,
@@ -139,25 +141,37 @@ def pair_rows(
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     cols_a, cols_b = a.columns, b.columns
     left, right = with_passes(a, keys_a), with_passes(b, keys_b)
-    if strategy == "auto":
-        small = fits_broadcast(left) or fits_broadcast(right)
-        strategy = "plain" if small else "salted"
-
     join_on = [PASS, KEY]
+    has_finer = bool(finer and finer.names)
+    refined = False
+    if strategy in ("auto", "broadcast"):
+        size_l, size_r = estimated_bytes(left), estimated_bytes(right)
+        fits = min(size_l, size_r) <= broadcast_limit(left)
+        if strategy == "auto" and not fits:
+            strategy = "salted"
+        elif fits:
+            # The small side is broadcast, which leaves the other one where it is: no shuffle, no
+            # skewed task. Only the work per row can grow, within a hot key of the small side.
+            small_is_right = size_r <= size_l
+            if has_finer and min(size_l, size_r) > skew.tiny_bytes:
+                hot = hot_small_side(right if small_is_right else left, join_on, skew)
+                left, right, refined = _refine(left, hot, finer), _refine(right, hot, finer), True
+            # Pair work grows with the square of the rows, so a table of one or two splits would
+            # keep one or two cores busy. It is spread; larger ones come in many splits anyway.
+            if max(size_l, size_r) <= skew.spread_bytes:
+                cores = a.sparkSession.sparkContext.defaultParallelism
+                left, right = (left.repartition(cores), right) if small_is_right else (left, right.repartition(cores))
+            left, right = (left, F.broadcast(right)) if small_is_right else (F.broadcast(left), right)
+    if strategy == "salted" and has_finer:
+        hot = hot_keys(left, right, join_on, skew)
+        left, right, refined = _refine(left, hot, finer), _refine(right, hot, finer), True
+    if refined:
+        join_on = join_on + [SUB, SUBKEY]
     if strategy == "salted":
-        if finer and finer.names:
-            hot = hot_keys(left, right, join_on, skew)
-            left, right = _refine(left, hot, finer), _refine(right, hot, finer)
-            join_on = join_on + [SUB, SUBKEY]
         hot = hot_keys(left, right, join_on, skew)
         left = _on_grid(left, hot, join_on, 1, skew, cols_a)
         right = _on_grid(right, hot, join_on, 2, skew, cols_b)
         join_on = join_on + [CELL]
-    elif strategy == "broadcast":
-        if fits_broadcast(right):
-            right = F.broadcast(right)
-        elif fits_broadcast(left):
-            left = F.broadcast(left)
     elif strategy == "shuffle_hash":
         right = right.hint("shuffle_hash")
 
@@ -166,14 +180,10 @@ def pair_rows(
     condition = l(join_on[0]) == r(join_on[0])
     for c in join_on[1:]:
         condition = condition & (l(c) == r(c))
-    n = len(keys_a)
-    if n > 1:
-        first = _first_agreeing(
-            [F.get(l("_keys"), i) for i in range(n)], [F.get(r("_keys"), i) for i in range(n)]
-        )
-        condition = condition & (l(PASS) == first)
-    if SUB in join_on:
-        first = _first_agreeing([l(c) for c in finer.names], [r(c) for c in finer.names])
+    if KEYS in left.columns:
+        condition = condition & (l(PASS) == _first_agreeing(l(KEYS), r(KEYS)))
+    if refined:
+        first = _first_agreeing(F.array(*[l(c) for c in finer.names]), F.array(*[r(c) for c in finer.names]))
         condition = condition & ((l(SUB) == -1) | (l(SUB) == first))
     if residual is not None:
         condition = condition & residual(l, r)

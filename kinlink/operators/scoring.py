@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kinlink.functions.people import parse_date, phonetic_code
 from kinlink.functions.similarity import (
     SLACK, codes_match, date_similarity, document_match, jaro_winkler_similarity,
-    levenshtein_ceiling, levenshtein_similarity,
+    levenshtein_at_least, levenshtein_similarity,
 )
 from kinlink.operators.pairing import SkewConfig
 from kinlink.schema import BIRTH, DOC, NAME
@@ -148,25 +148,29 @@ def _cheap_parts(l, r, cfg: MatchConfig) -> tuple[Column, Column, Column]:
     )
 
 
-def score_ceiling(l, r, cfg: MatchConfig, lev: Column) -> Column:
-    """Largest score a pair can have, with Jaro-Winkler taken as 1."""
+def can_reach(l, r, cfg: MatchConfig) -> Column:
+    """Can the pair reach the threshold, with Jaro-Winkler, unknown yet, taken as 1?"""
     w = cfg.weights
+    floor = cfg.threshold - SLACK - _rounding(cfg)
     code, date, doc = _cheap_parts(l, r, cfg)
-    return lev * w.levenshtein + w.jaro_winkler + code * w.soundex + date * w.date + doc * w.document
+    rest = date * w.date + doc * w.document
+    named = (F.length(l(NAME)) > 0) & (F.length(r(NAME)) > 0)
+    if w.levenshtein > 0:
+        # What edit distance has to add, as a similarity.
+        needed = (F.lit(floor - w.jaro_winkler) - rest - code * w.soundex) / w.levenshtein
+        by_name = levenshtein_at_least(l(NAME), r(NAME), needed)
+    else:
+        by_name = rest + code * w.soundex + w.jaro_winkler >= floor
+    return F.when(named, by_name).otherwise(rest >= floor)
 
 
 def pair_condition(cfg: MatchConfig, thresholded: bool = True):
-    """The residual join condition: the age gap, then ever tighter bounds of the score."""
+    """The residual join condition: the age gap, and a bound of the score."""
     def residual(l, r) -> Column:
         test = F.lit(True)
         if cfg.max_age_gap is not None:
             test = F.abs(l(BIRTH_YEAR) - r(BIRTH_YEAR)) <= cfg.max_age_gap
-        if thresholded:
-            floor = cfg.threshold - SLACK - _rounding(cfg)
-            quick = score_ceiling(l, r, cfg, levenshtein_ceiling(l(NAME), r(NAME))) >= floor
-            exact = score_ceiling(l, r, cfg, levenshtein_similarity(l(NAME), r(NAME))) >= floor
-            test = test & quick & exact
-        return test
+        return test & can_reach(l, r, cfg) if thresholded else test
 
     return residual
 
