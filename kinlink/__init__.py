@@ -1,0 +1 @@
+"""Record linkage and match search on Spark."""

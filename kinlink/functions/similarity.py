@@ -24,14 +24,12 @@ def levenshtein_similarity(a: Column, b: Column) -> Column:
 def levenshtein_at_least(a: Column, b: Column, similarity: Column) -> Column:
     """Is the similarity of two non-empty texts at least this?
 
-    The most edits allowed follow from the lengths. A larger length gap decides at once, and
-    Spark's bounded levenshtein stops early.
+    The most edits allowed follow from the lengths; a larger length gap decides at once.
     """
     longest = F.greatest(F.length(a), F.length(b))
     allowed = F.floor((1.0 - similarity) * longest + SLACK).cast("int")
     gap = F.abs(F.length(F.lower(a)) - F.length(F.lower(b)))
-    edits = F.call_function("levenshtein", F.lower(a), F.lower(b), allowed)
-    return (allowed >= 0) & (gap <= allowed) & (edits >= 0)
+    return (gap <= allowed) & (F.levenshtein(F.lower(a), F.lower(b)) <= allowed)
 
 
 def _jaro_winkler_udf():
