@@ -43,7 +43,7 @@ DOCS = st.sampled_from(["1", "2", "3", "", None])
 PEOPLE = st.lists(st.tuples(NAMES, DATES, DOCS, st.just("Ativo")), min_size=1, max_size=15)
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(PEOPLE, PEOPLE, st.sampled_from([0.05, 0.4, 0.5, 0.7, 0.85]))
 def test_every_strategy_equals_brute_force(spark, make, a, b, threshold):
     """NULLs, empty values, copies and hot keys; the bound and the finer keys lose nothing."""
