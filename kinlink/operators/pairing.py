@@ -130,12 +130,13 @@ def pair_rows(
     strategy: str = "auto",
     finer: FinerKeys | None = None,
     skew: SkewConfig = SkewConfig(),
+    passes: int | None = None,
 ) -> DataFrame:
     """All (left, right) pairs that agree in some pass and satisfy `residual(left, right)`.
 
     The result has two struct columns `l` and `r` and `_pass`. `residual` takes two functions
     from column name to Column and is part of the join condition, so rejected pairs are never
-    emitted.
+    emitted. `passes` is the length of array keys, for the size estimate.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -145,7 +146,9 @@ def pair_rows(
     has_finer = bool(finer and finer.names)
     refined = False
     if strategy in ("auto", "broadcast"):
-        size_l, size_r = estimated_bytes(left), estimated_bytes(right)
+        # The estimate does not know that exploding the passes multiplies the rows.
+        copies = len(keys_a) if isinstance(keys_a, list) else passes or 1
+        size_l, size_r = estimated_bytes(left) * copies, estimated_bytes(right) * copies
         fits = min(size_l, size_r) <= broadcast_limit(left)
         if strategy == "auto" and not fits:
             strategy = "salted"

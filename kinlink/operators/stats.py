@@ -76,22 +76,23 @@ def pair_quality(
     truth = docs(a, "n1").join(docs(b, "n2"), "d").agg(
         F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).alias("true_pairs")
     )
-    sizes = (
-        a.agg(F.count("*").alias("rows_1"))
-        .crossJoin(b.agg(F.count("*").alias("rows_2")))
-        .crossJoin(candidates.agg(F.count("*").alias("candidates")))
-        .crossJoin(truth)
-    )  # four single rows side by side
     same = F.col("nr_documento_1") == F.col("nr_documento_2")
     sums = []
     for i, t in enumerate(thresholds):
         hit = F.col("similarity_score") >= t
         sums += [F.count_if(hit & same).alias(f"tp{i}"), F.count_if(hit & ~same).alias(f"fp{i}")]
+    totals = [a.agg(F.count("*").alias("rows_1")), b.agg(F.count("*").alias("rows_2")),
+              candidates.agg(F.count("*").alias("candidates")), truth, matches.agg(*sums)]
+    # Five single rows, put into one.
+    stacked = totals[0]
+    for total in totals[1:]:
+        stacked = stacked.unionByName(total, allowMissingColumns=True)
+    one = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     per = F.explode(F.array(*[
         F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"))
         for i, t in enumerate(thresholds)
     ])).alias("p")
-    rows = matches.agg(*sums).select(per).select("p.*").crossJoin(sizes)
+    rows = one.select("rows_1", "rows_2", "candidates", "true_pairs", per).select("*", "p.*")
     tp, fp = F.col("tp"), F.col("fp")
     return rows.select(
         "threshold", "tp", "fp", (F.col("true_pairs") - tp).alias("fn"),

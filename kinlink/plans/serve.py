@@ -50,10 +50,15 @@ def _content_order(df: DataFrame) -> list[Column]:
 
 
 def one_per_id(docs: DataFrame) -> DataFrame:
-    """Rows with the same id replace each other; a later load wins, then the higher score."""
+    """Rows with the same id replace each other; a later load wins, then the higher score.
+
+    The documents make up the id. Naming them as keys as well lets a search by document reach the
+    scan below, before rows are compared.
+    """
     rows = docs.where(F.col("match_id").isNotNull())
     later = [F.desc(LOAD)] if LOAD in docs.columns else []
-    return top_per_group(rows, ["match_id"], 1, *later, *_content_order(docs))
+    keys = ["match_id", "nr_documento_1", "nr_documento_2"]
+    return top_per_group(rows, keys, 1, *later, *_content_order(docs))
 
 
 def rejected(docs: DataFrame) -> DataFrame:
@@ -89,13 +94,23 @@ def load_served(docs: DataFrame, path: str, mode: str = "overwrite", batch_size:
     return spark.read.parquet(target).count(), spark.read.parquet(bad).count()
 
 
+def loads_of(table: DataFrame) -> set[str]:
+    """The loads a table consists of, from the names of its files; no file is opened."""
+    return {part for f in table.inputFiles() for part in f.split("/") if part.startswith(f"{LOAD}=")}
+
+
 def read_served(spark: SparkSession, path: str) -> DataFrame:
     """The table as searches see it: one row per id."""
     rows = spark.read.parquet(path)
-    if rows.select(LOAD).distinct().limit(2).count() > 1:
+    if len(loads_of(rows)) > 1:
         rows = one_per_id(rows)
     return rows.select(*SERVED_COLUMNS)
 
 
+def compact_served(spark: SparkSession, path: str, target: str, load_seq: int = 0) -> tuple[int, int]:
+    """Writes the current rows as a single load to another path, so that reads compare nothing."""
+    return load_served(read_served(spark, path), target, "overwrite", load_seq=load_seq)
+
+
 def empty_served(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SERVED_SCHEMA)

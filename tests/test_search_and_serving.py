@@ -127,6 +127,11 @@ def test_load_replace_append_and_reject(spark, folder):
     assert got == {"1_2": 0.6, "9_2": 0.9}
     with pytest.raises(ValueError):
         serve.load_served(later, f"{folder}/t", "append", load_seq=2)
+    found = search.search_by_document(serve.read_served(spark, f"{folder}/t"), "1")
+    pushed = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(EqualTo(nr_documento_1,1),EqualTo(nr_documento_2,1))" in pushed.replace("IsNotNull(match_id), ", "")
+    assert serve.compact_served(spark, f"{folder}/t", f"{folder}/u") == (2, 0)
+    assert rows(serve.read_served(spark, f"{folder}/u")) == rows(serve.read_served(spark, f"{folder}/t"))
     assert serve.load_served(later, f"{folder}/t", "overwrite", load_seq=3) == (2, 0)
     assert serve.read_served(spark, f"{folder}/t").count() == 2
 
