@@ -57,12 +57,17 @@ def with_passes(df: DataFrame, keys: list[Column] | Column) -> DataFrame:
     if isinstance(keys, list) and len(keys) == 1:
         return df.withColumns({PASS: F.lit(0), KEY: keys[0]}).where(F.col(KEY).isNotNull())
     keyed = df.withColumn(KEYS, F.array(*keys) if isinstance(keys, list) else keys)
-    return keyed.select("*", F.posexplode(KEYS).alias(PASS, KEY)).where(F.col(KEY).isNotNull())
+    # The outer form: for the plain one Spark adds a filter on the array's size, which computes
+    # the keys a second time.
+    return keyed.select("*", F.posexplode_outer(KEYS).alias(PASS, KEY)).where(F.col(KEY).isNotNull())
 
 
-def _first_agreeing(left: Column, right: Column) -> Column:
-    """Index of the first place at which two arrays agree."""
-    return (F.array_position(F.zip_with(left, right, lambda x, y: x == y), F.lit(True)) - 1).cast("int")
+def _first_agreeing(left: list[Column], right: list[Column]) -> Column:
+    """Index of the first pair of columns that agrees."""
+    chain = F
+    for i, (x, y) in enumerate(zip(left, right)):
+        chain = chain.when(x == y, i)
+    return chain
 
 
 def hot_keys(a: DataFrame, b: DataFrame, keys: list[str], cfg: SkewConfig) -> DataFrame:
@@ -94,7 +99,7 @@ def _refine(df: DataFrame, hot: DataFrame, finer: FinerKeys) -> DataFrame:
     entry = lambda i, value: F.struct(F.lit(i).alias(SUB), value.alias(SUBKEY))
     fine = F.array(*[entry(i, F.col(c)) for i, c in enumerate(finer.names)])
     whole = F.array(entry(-1, F.lit("")))
-    exploded = marked.withColumn("_e", F.explode(F.when(F.col("_hot"), fine).otherwise(whole)))
+    exploded = marked.withColumn("_e", F.explode_outer(F.when(F.col("_hot"), fine).otherwise(whole)))
     return (
         exploded.withColumns({SUB: F.col(f"_e.{SUB}"), SUBKEY: F.col(f"_e.{SUBKEY}")})
         .drop("_e", "_hot").where(F.col(SUBKEY).isNotNull())
@@ -136,10 +141,13 @@ def pair_rows(
 
     The result has two struct columns `l` and `r` and `_pass`. `residual` takes two functions
     from column name to Column and is part of the join condition, so rejected pairs are never
-    emitted. `passes` is the length of array keys, for the size estimate.
+    emitted. `passes` is the length of array keys.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
+    if not isinstance(keys_a, list) and passes is None:
+        raise ValueError("array keys need their length in `passes`")
+    copies = len(keys_a) if isinstance(keys_a, list) else passes
     cols_a, cols_b = a.columns, b.columns
     left, right = with_passes(a, keys_a), with_passes(b, keys_b)
     join_on = [PASS, KEY]
@@ -147,7 +155,6 @@ def pair_rows(
     refined = False
     if strategy in ("auto", "broadcast"):
         # The estimate does not know that exploding the passes multiplies the rows.
-        copies = len(keys_a) if isinstance(keys_a, list) else passes or 1
         size_l, size_r = estimated_bytes(left) * copies, estimated_bytes(right) * copies
         fits = min(size_l, size_r) <= broadcast_limit(left)
         if strategy == "auto" and not fits:
@@ -184,9 +191,11 @@ def pair_rows(
     for c in join_on[1:]:
         condition = condition & (l(c) == r(c))
     if KEYS in left.columns:
-        condition = condition & (l(PASS) == _first_agreeing(l(KEYS), r(KEYS)))
+        places = [F.lit(i) for i in range(copies)]
+        first = _first_agreeing([F.get(l(KEYS), i) for i in places], [F.get(r(KEYS), i) for i in places])
+        condition = condition & (l(PASS) == first)
     if refined:
-        first = _first_agreeing(F.array(*[l(c) for c in finer.names]), F.array(*[r(c) for c in finer.names]))
+        first = _first_agreeing([l(c) for c in finer.names], [r(c) for c in finer.names])
         condition = condition & ((l(SUB) == -1) | (l(SUB) == first))
     if residual is not None:
         condition = condition & residual(l, r)

@@ -552,7 +552,7 @@ def lsh_candidates(spark, d):
 
 @query("embedding_matches")
 def embedding_matches(spark, d):
-    return lsh.embedding_matches(read(spark, d, "embeddings"), max_distance=1.1, bucket_length=0.5)
+    return lsh.embedding_matches(read(spark, d, "embeddings"), max_distance=1.1, bucket_length=0.25)
 
 
 EDGES = sql.base(sql.matches(sql.BY_PREFIX), """
