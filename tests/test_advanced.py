@@ -82,6 +82,18 @@ def test_lsh_skips_short_names(make):
 
 
 def test_embeddings(spark, sf):
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    got = lsh.embedding_matches(vectors, 1.1, 0.5).collect()
+    values = {r["vec_id"]: r["embedding"] for r in vectors.collect()}
+    distance = lambda i, j: math.dist(values[i], values[j])
+    ids = sorted(values)
+    true = {(i, j) for x, i in enumerate(ids) for j in ids[x + 1:] if distance(i, j) <= 1.1}
+    pairs = {(r["id_1"], r["id_2"]) for r in got}
+    assert len(pairs) == len(got) and pairs <= true and len(pairs) >= 0.8 * len(true)
+    assert all(r["distance"] == pytest.approx(distance(r["id_1"], r["id_2"])) for r in got)
+
+
+def test_near_copies_of_vectors(spark, sf):
     """Only pairs within the distance, each once; near copies are found."""
     rows_in = spark.read.parquet(f"{sf}/embeddings.parquet").limit(200).collect()
     values = {r["vec_id"]: [float(x) for x in r["embedding"]] for r in rows_in}
@@ -89,13 +101,13 @@ def test_embeddings(spark, sf):
     copies = {10**6 + i: [x + noise.gauss(0, 0.02) for x in v] for i, v in list(values.items())[:60]}
     values.update(copies)
     df = spark.createDataFrame(list(values.items()), "vec_id long, embedding array<double>")
-    got = lsh.embedding_matches(df, 1.1, 0.25).collect()
+    got = lsh.embedding_matches(df, 1.1, 0.25, bands=16, rows=8).collect()
     pairs = {(r["id_1"], r["id_2"]) for r in got}
     assert len(pairs) == len(got) and all(i < j for i, j in pairs)
     for r in got:
         assert r["distance"] == pytest.approx(math.dist(values[r["id_1"]], values[r["id_2"]])) and r["distance"] <= 1.1
     assert sum((i - 10**6, i) in pairs for i in copies) >= 57
-    salted = lsh.embedding_matches(df, 1.1, 0.25, strategy="salted", skew=SkewConfig(pair_budget=50, slice_rows=10))
+    salted = lsh.embedding_matches(df, 1.1, 0.25, bands=16, rows=8, strategy="salted", skew=SkewConfig(pair_budget=50, slice_rows=10))
     assert {(r["id_1"], r["id_2"]) for r in salted.collect()} == pairs
 
 
