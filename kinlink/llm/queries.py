@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinlink.llm import crf, line_dedup, line_labels, mixing, ngram_join, quality, sentencepiece_dropout
+from kinlink.llm import chunking, crf, line_dedup, line_labels, mixing, ngram_join, pii, quality, sentencepiece_dropout, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_classes(_read(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(_read(spark, sf_dir, "documents")))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     docs = _read(spark, sf_dir, "documents")
@@ -36,6 +40,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), target_entropy=MIX_ENTROPY)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, _read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.expr("crc32(cast(doc_id AS string)) % 5 = 0").alias("held_out"), "score",
+                         F.expr("cast(score >= 0.5 AS int)").alias("predicted"), "n_found")
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_read(spark, sf_dir, "documents"))
 
@@ -47,9 +58,31 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.expr("cast(score >= 0.3 AS int)").alias("predicted"), "n_lines", "content_share")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_sentencepiece, op4_quality_rules, op5_mixing, op7_ngram_join, op8_quality_classifier)}
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_read(spark, sf_dir, "embeddings"), F.expr("vec_id % 100 = 0"), 10)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that stands before elsewhere, with the documents that hold the originals."""
+    return chunking.repeated_spans(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_pii, op3_sentencepiece, op4_quality_rules, op5_mixing, op6_toxicity, op7_ngram_join, op8_quality_classifier,
+    op9_top_k, op10_substring_dedup)}
 
 ORACLE = {
+    "op9_top_k": """
+WITH scaled AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM scaled q, scaled c WHERE q.vec_id % 100 = 0 AND q.vec_id != c.vec_id
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
     "op5_mixing": f"""
 WITH RECURSIVE tokens AS (
   SELECT doc_id, source, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents
