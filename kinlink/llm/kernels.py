@@ -1,6 +1,6 @@
 """Vectorised helpers for text inside Arrow tasks: words, lines and 64-bit hashes of byte spans.
 
-A batch of texts is worked on in segments of about two megabytes, so that the arrays of a segment
+A batch of texts is worked on in segments of about half a megabyte, so that the arrays of a segment
 stay small whatever the batch holds. A text longer than that is a segment of its own.
 Null texts count as empty.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SEGMENT_BYTES = 1 << 21
+SEGMENT_BYTES = 1 << 19
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = np.zeros(256, bool)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from kinlink.llm import kernels as K
 from kinlink.llm.buckets import star_pairs
+from kinlink.llm.cells import cell_rows, minority_cells
 from kinlink.llm.components import connected_components
 from kinlink.llm.store import written
 
@@ -200,32 +201,18 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     members = written(groups.join(sizes, "grp").withColumn("blocks", blocks)
                       .withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) AS int)")).join(sets, "id"), "members")
 
-    def cells(rows: DataFrame, i, j, kind: int, label) -> DataFrame:
-        return rows.select(F.struct(F.col("grp"), i.alias("i"), j.alias("j")).cast("struct<grp:bigint,i:int,j:int>").alias("cell"),
-                           F.lit(kind).alias("query"), "id", label.alias("label"), "tokens")
-
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     small, large = members.where(f"m <= {BLOCK}"), members.where(f"m > {BLOCK}")
     zero = F.lit(0)
     pivots = large.where(f"pmod(xxhash64(id, 1), m) < {PIVOTS}").withColumn("each", each)
-    round_one = (cells(small, zero, zero, 2, F.col("id"))
-                 .union(cells(large, F.lit(-1), F.col("block"), 0, F.col("id")))
-                 .union(cells(pivots, F.lit(-1), F.col("each"), 1, F.col("id"))))
+    round_one = (cell_rows(small, zero, zero, 2, F.col("id"), "tokens")
+                 .union(cell_rows(large, F.lit(-1), F.col("block"), 0, F.col("id"), "tokens"))
+                 .union(cell_rows(pivots, F.lit(-1), F.col("each"), 1, F.col("id"), "tokens")))
     links = written(_in_cells(round_one), "links")
     if not large.isEmpty():
         labels = connected_components(links).toDF("id", "label")
         labelled = large.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        main = (labelled.groupBy("grp", "label").agg(F.count("*").alias("n")).groupBy("grp")
-                .agg(F.max(F.struct("n", "label")).alias("top")).select("grp", F.col("top.label").alias("main")))
-        labelled = labelled.join(main, "grp")
-        others = labelled.where("label != main").groupBy("grp").agg(F.count("*").alias("q"))
-        labelled = written(labelled.join(others, "grp").withColumn("query_blocks", F.ceil(F.col("q") / BLOCK).cast("int")), "labelled")
-        queries = (labelled.where("label != main").withColumn("own", F.expr("cast(pmod(xxhash64(id, 2), query_blocks) AS int)"))
-                   .withColumn("each", each))
-        indexed = labelled.withColumn("each", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
-        round_two = (cells(queries, F.col("own"), F.col("each"), 1, F.col("label"))
-                     .union(cells(indexed, F.col("each"), F.col("block"), 0, F.col("label"))))
-        links = links.union(written(_in_cells(round_two), "more-links"))
+        links = links.union(written(_in_cells(minority_cells(labelled, "tokens", BLOCK)), "more-links"))
     linked = connected_components(links).toDF("id", "component_id")
     return (classes.join(first.select("class", "id"), "class", "left").join(linked, "id", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "id", "doc_id")).alias("component_id")))
