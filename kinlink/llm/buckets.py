@@ -12,10 +12,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from kinlink.llm.components import connected_components
+
 SCHEMA = "bucket bigint, hub bigint, member bigint"
 NAMES = ["bucket", "hub", "member"]
 #: Rows (bucket, id) that a task holds before it pairs and sends them.
-HELD = 2_000_000
+HELD = 1_000_000
 
 
 def _local(buckets: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
@@ -74,14 +76,17 @@ def star_pairs(rows: DataFrame, keys: Callable[[pa.RecordBatch], tuple[np.ndarra
             .sortWithinPartitions("bucket", "hub").select(*NAMES).mapInArrow(_runs, SCHEMA))
 
 
-def unresolved_pairs(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """(a, b), a < b, in different components, that share a bucket and were not compared as a hub and a member."""
-    members = pairs.selectExpr("bucket", "hub AS id").union(pairs.selectExpr("bucket", "member")).distinct()
-    placed = (members.join(components.toDF("id", "component"), "id", "left")
-              .select("bucket", "id", F.coalesce("component", "id").alias("component")))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
-    open_rows = placed.join(mixed, "bucket")
-    x, y = open_rows.toDF("bucket", "a", "ca"), open_rows.toDF("bucket", "b", "cb")
-    compared = pairs.select(F.least("hub", "member").alias("a"), F.greatest("hub", "member").alias("b"))
-    return (x.join(y, "bucket").where("a < b AND ca != cb").select("a", "b").distinct()
-            .join(compared, ["a", "b"], "left_anti"))
+def unresolved_groups(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """(grp, id, label): the rows of buckets that hold different components, grouped so that no bucket is parted.
+
+    label is the row's component. Two rows of one bucket and different components are in one group.
+    """
+    known = components.toDF("id", "component")
+
+    def labelled(rows: DataFrame, column: str) -> DataFrame:
+        return rows.join(known.toDF(column, f"{column}_label"), column, "left").withColumn(f"{column}_label", F.coalesce(f"{column}_label", column))
+
+    edges = labelled(labelled(pairs.select("hub", "member").distinct(), "hub"), "member")
+    groups = connected_components(edges.select(F.col("hub_label").alias("a"), F.col("member_label").alias("b"))).toDF("label", "grp")
+    rows = edges.select(F.explode(F.array(*(F.struct(F.col(c).alias("id"), F.col(f"{c}_label").alias("label")) for c in ("hub", "member")))).alias("r"))
+    return rows.select("r.*").distinct().join(groups, "label").select("grp", "id", "label")
