@@ -17,8 +17,8 @@ from kinlink.llm import kernels as K
 SPACE = "▁"
 DROPOUT, SEED = 0.1, 0
 #: Segmentations that one run can give a chunk; an occurrence takes one by a hash of (seed, id, place).
-VARIANTS = 8
-CACHED = 300_000
+VARIANTS = 4
+CACHED = 250_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MASK = (1 << 64) - 1
 
@@ -49,81 +49,180 @@ class Vocabulary:
         kind = lambda i: "byte" if model.is_byte(i) else "special" if model.is_control(i) or model.is_unknown(i) or model.is_unused(i) else "normal"
         return cls([model.id_to_piece(i) for i in range(n)], [model.get_score(i) for i in range(n)], [kind(i) for i in range(n)])
 
+    @cached_property
+    def rank(self) -> dict[str, int]:
+        """Place of each piece in the order of merging: by score from the highest, then by id."""
+        order = sorted(self.merged.items(), key=lambda e: (-self.scores[e[1]], e[1]))
+        return {piece: i for i, (piece, _) in enumerate(order)}
+
+    @cached_property
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Id of each code point or -1; sorted pairs of ids that make a piece, with its rank; id of each rank."""
+        characters = np.full(0x110000, -1, np.int32)
+        made = {}
+        for piece, own in self.merged.items():
+            if len(piece) == 1:
+                characters[ord(piece)] = own
+            for i in range(1, len(piece)):
+                left, right = self.merged.get(piece[:i]), self.merged.get(piece[i:])
+                if left is not None and right is not None:
+                    made[left << 32 | right] = self.rank[piece]
+        pairs = np.array(sorted(made) or [-2], np.int64)
+        ranks = np.array([made[p] for p in sorted(made)] or [0], np.int64)
+        return characters, pairs, ranks, np.array([self.merged[p] for p in self.rank] or [0], np.int64)
+
     @cached_property
     def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = np.array([len(x) for x in self.table])
         return np.frombuffer(b"".join(self.table), np.uint8), np.concatenate([[0], np.cumsum(size)])[:-1], size
 
 
-def encode_chunk(vocabulary: Vocabulary, chunk: str, key: int, dropout: float) -> list[int]:
-    """Ids of one chunk. The best merge of the agenda comes next; it is skipped, for good, if the hash of
-    (key, chunk, place, piece) falls under the dropout."""
-    merged, scores = vocabulary.merged, vocabulary.scores
-    text, ids = list(chunk), [merged.get(c, -1) for c in chunk]
-    n = len(text)
+_C1, _C2, _C3, _C4, _C5 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+
+def _text_hash(chunk: str) -> int:
+    return zlib.crc32(chunk.encode("utf-8", "surrogatepass")) * _C1 & _MASK
+
+
+def encode_chunk(vocabulary: Vocabulary, chunk: str, key: int = 0, dropout: float = 0.0) -> list[int]:
+    """Ids of one chunk. The best merge of the agenda, by score and then from the left, comes next; it is skipped,
+    for good, if the hash of (key, chunk, place, piece) falls under the dropout."""
+    rank, merged, limit, own_hash = vocabulary.rank, vocabulary.merged, int(dropout * (1 << 32)), _text_hash(chunk)
+    text, n = list(chunk), len(chunk)
     before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-    limit = int(dropout * (1 << 32))
-    key = (key ^ zlib.crc32(chunk.encode("utf-8", "surrogatepass")) * 0x9E3779B97F4A7C15) & _MASK
-    agenda: list[tuple[float, int, int, int, int]] = []
+    agenda: list[tuple[int, int, int, int]] = []
 
     def propose(left: int, right: int) -> None:
-        if left < 0 or right < 0 or ids[left] < 0 or ids[right] < 0:
-            return
-        piece = merged.get(text[left] + text[right])
-        if piece is not None:
-            heapq.heappush(agenda, (-scores[piece], left, right, piece, len(text[left]) + len(text[right])))
+        if left >= 0 and right >= 0 and (own := rank.get(text[left] + text[right])) is not None:
+            heapq.heappush(agenda, (own, left, right, len(text[left]) + len(text[right])))
 
     for i in range(n - 1):
         propose(i, i + 1)
     while agenda:
-        _, left, right, piece, size = heapq.heappop(agenda)
+        _, left, right, size = heapq.heappop(agenda)
         if not text[left] or after[left] != right or len(text[left]) + len(text[right]) != size:
             continue  # a part has been merged with another since
-        if limit:
-            h = ((key + left * 0xC2B2AE3D27D4EB4F + piece * 0x165667B19E3779F9) & _MASK) * 0xBF58476D1CE4E5B9 & _MASK
-            if ((h ^ h >> 29) * 0x94D049BB133111EB & _MASK) >> 32 < limit:
-                continue
-        text[left], ids[left], text[right] = text[left] + text[right], piece, ""
+        both = text[left] + text[right]
+        h = ((own_hash + left * _C2 + merged[both] * _C3 & _MASK) ^ key) * _C4 & _MASK
+        if ((h ^ h >> 29) * _C5 & _MASK) >> 32 < limit:
+            continue
+        text[left], text[right] = both, ""
         after[left] = after[right]
         if after[left] >= 0:
             before[after[left]] = left
         propose(before[left], left)
         propose(left, after[left])
     out = []
-    for part, own in zip(text, ids):
-        if part:
-            out += [own] if own >= 0 else [vocabulary.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
+    for part in filter(None, text):
+        own = merged.get(part)
+        out += [own] if own is not None else [vocabulary.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
     return out
 
 
+def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, dropout: float) -> list[np.ndarray]:
+    """encode_chunk for many chunks at once: each step does, or skips, the best merge of every chunk's agenda."""
+    characters, pairs, pair_rank, rank_piece = vocabulary.arrays
+    limit, none = K.U(int(dropout * (1 << 32))), np.int64(1) << 62
+    points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.array([len(c) for c in chunks], np.int64)
+    end = np.cumsum(size)
+    start = end - size
+    n = len(points)
+    ids = characters[points].astype(np.int64)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    after[end - 1] = -1
+    before[start] = -1
+    hashes = np.array([_text_hash(c) for c in chunks], K.U)
+
+    def agenda_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and place of merging the symbols at two places, `none` if they make no piece."""
+        out = np.full(len(left), none)
+        two = np.flatnonzero((left >= 0) & (right >= 0))
+        a, b = ids[left[two]], ids[right[two]]
+        key = np.where((a >= 0) & (b >= 0), a << 32 | b, -1)
+        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        hit = pairs[at] == key
+        out[two[hit]] = pair_rank[at[hit]] << 32 | left[two[hit]]
+        return out
+
+    agenda = np.append(agenda_of(np.arange(n), after), none)
+    gone, active = np.zeros(n, bool), np.arange(len(chunks))
+    while len(active):
+        edges = np.empty(2 * len(active), np.int64)
+        edges[0::2], edges[1::2] = start[active], end[active]
+        best = np.minimum.reduceat(agenda, edges)[::2]
+        left_over = best < none
+        active, best = active[left_over], best[left_over]
+        left, piece = best & 0xFFFFFFFF, rank_piece[best >> 32]
+        if limit:
+            h = ((hashes[active] + (left - start[active]).astype(K.U) * K.U(_C2) + piece.astype(K.U) * K.U(_C3)) ^ keys[active]) * K.U(_C4)
+            skip = (((h ^ (h >> K.U(29))) * K.U(_C5)) >> K.U(32)) < limit
+            agenda[left[skip]] = none
+            left, piece = left[~skip], piece[~skip]
+        right = after[left]
+        ids[left], gone[right], agenda[right] = piece, True, none
+        following, previous = after[right], before[left]
+        after[left] = following
+        before[following[following >= 0]] = left[following >= 0]
+        agenda[left] = agenda_of(left, following)
+        agenda[previous[previous >= 0]] = agenda_of(previous, left)[previous >= 0]
+    width = (~gone).astype(np.int64)
+    unknown = np.flatnonzero(~gone & (ids < 0))
+    as_bytes = [chr(p).encode("utf-8", "surrogatepass") for p in points[unknown].tolist()]
+    width[unknown] = [len(b) for b in as_bytes]
+    cuts = np.concatenate([[0], np.cumsum(width)])
+    out = np.repeat(ids, width).astype(np.int32)
+    for at, own in zip(cuts[unknown].tolist(), as_bytes):
+        out[at:at + len(own)] = [vocabulary.bytes[b] for b in own]
+    return [out[a:b] for a, b in zip(cuts[start].tolist(), cuts[end].tolist())]
+
+
 class Encoder:
-    """Encodes texts; chunks seen lately are kept, as a chunk's segmentation depends on its text and variant alone."""
+    """Encodes texts. A chunk's segmentation depends on its text and variant alone, so chunks seen lately are kept."""
 
     CHUNKS = re.compile(r" *[^ \n]+|\n| +")
+    #: Chunks of more characters are merged one by one.
+    LONG = 200
 
     def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
         self.vocabulary, self.dropout, self.seed = vocabulary, dropout, seed
-        self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS if dropout else 1)]
-        self.keys = [int(K.mix(np.array([seed * 1000 + v + 1], K.U))[0]) for v in range(VARIANTS)]
-
-    def encode(self, text: str, doc_id: int) -> np.ndarray:
-        """Ids of the text after a space, as SentencePiece adds one; an empty text has none."""
-        if not text:
-            return np.zeros(0, np.int32)
-        chunks = self.CHUNKS.findall(" " + text)
-        start = zlib.crc32(f"{self.seed}:{doc_id}".encode())
-        variant = (K.mix(np.arange(len(chunks), dtype=K.U) + K.U(start << 20)) % K.U(len(self.known))).tolist()
-        out = []
-        for chunk, v in zip(chunks, variant):
-            own = self.known[v].get(chunk)
-            if own is None:
-                if len(self.known[v]) >= CACHED // len(self.known):
-                    self.known[v].clear()
-                own = np.array(encode_chunk(self.vocabulary, chunk, self.keys[v], self.dropout), np.int32).tobytes()
-                if len(chunk) < 100:
-                    self.known[v][chunk] = own
-            out.append(own)
-        return np.frombuffer(b"".join(out), np.int32)
+        self.keys = [int(K.mix(np.array([seed * 1000 + v + 1], K.U))[0]) for v in range(VARIANTS if dropout else 1)]
+        self.known: list[dict[str, bytes]] = [{} for _ in self.keys]
+        self.kept = 0
+
+    def _learn(self, missing: dict[tuple[str, int], None]) -> dict[tuple[str, int], bytes]:
+        short = [x for x in missing if len(x[0]) <= self.LONG]
+        keys = np.array([self.keys[v] for _, v in short], K.U)
+        new = dict(zip(short, (x.tobytes() for x in encode_chunks(self.vocabulary, [c for c, _ in short], keys, self.dropout)))) if short else {}
+        if self.kept + len(new) > CACHED:
+            self.kept = 0
+            for held in self.known:
+                held.clear()
+        for (chunk, v), own in new.items():
+            self.known[v][chunk] = own
+        self.kept += len(new)
+        for chunk, v in missing:
+            if len(chunk) > self.LONG:
+                new[chunk, v] = np.array(encode_chunk(self.vocabulary, chunk, self.keys[v], self.dropout), np.int32).tobytes()
+        return new
+
+    def encode(self, texts: list[str], doc_ids: list[int | None]) -> list[np.ndarray]:
+        """Ids of each text after a space, as SentencePiece adds one; an empty text has none."""
+        found, missing = [], {}
+        for text, doc_id in zip(texts, doc_ids):
+            chunks = self.CHUNKS.findall(" " + text) if text else []
+            start = zlib.crc32(f"{self.seed}:{doc_id}".encode())
+            variant = (K.mix(np.arange(len(chunks), dtype=K.U) + K.U(start << 20)) % K.U(len(self.known))).tolist()
+            known, out = self.known, []
+            for chunk, v in zip(chunks, variant):
+                own = known[v].get(chunk)
+                if own is None:
+                    own = (chunk, v)
+                    missing[own] = None
+                out.append(own)
+            found.append(out)
+        new = self._learn(missing) if missing else {}
+        return [np.frombuffer(b"".join([x if type(x) is bytes else new[x] for x in out]), np.int32) for out in found]
 
 
 def decode_ids(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
@@ -159,7 +258,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, se
         for batch in batches:
             own_ids = batch.column(0).to_pylist()
             for seg in K.segments(batch.column(1)):
-                ids = [encoder.encode(seg.text(i), own_ids[seg.first + i]) for i in range(seg.rows)]
+                ids = encoder.encode([seg.text(i) for i in range(seg.rows)], own_ids[seg.first:seg.last])
                 yield _encoded(batch.column(0).slice(seg.first, seg.rows), ids)
 
     return docs.selectExpr("cast(doc_id AS bigint) doc_id", "text").mapInArrow(task, "doc_id bigint, n_tokens bigint, ids array<int>")
@@ -184,7 +283,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT
         for batch in batches:
             own_ids = batch.column(0).to_pylist()
             for seg in K.segments(batch.column(1)):
-                ids = [encoder.encode(seg.text(i), own_ids[seg.first + i]) for i in range(seg.rows)]
+                ids = encoder.encode([seg.text(i) for i in range(seg.rows)], own_ids[seg.first:seg.last])
                 back = [decode_ids(vocabulary, x) == seg.data[seg.offsets[i]:seg.offsets[i + 1]].tobytes() for i, x in enumerate(ids)]
                 yield _encoded(batch.column(0).slice(seg.first, seg.rows), ids, lossless=pa.array(back, pa.bool_()))
 
