@@ -18,7 +18,7 @@ SPACE = "▁"
 DROPOUT, SEED = 0.1, 0
 #: Segmentations that one run can give a chunk; an occurrence takes one by a hash of (seed, id, place).
 VARIANTS = 4
-CACHED = 250_000
+CACHED = 600_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MASK = (1 << 64) - 1
 
@@ -80,14 +80,21 @@ class Vocabulary:
 _C1, _C2, _C3, _C4, _C5 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
-def _text_hash(chunk: str) -> int:
-    return zlib.crc32(chunk.encode("utf-8", "surrogatepass")) * _C1 & _MASK
+def _text_hashes(points: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each run of code points, from each point and its place in the run."""
+    place = np.arange(len(points)) - np.repeat(start, size)
+    return np.add.reduceat(K.mix(points.astype(K.U) + (place.astype(K.U) << K.U(32))), start)
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def encode_chunk(vocabulary: Vocabulary, chunk: str, key: int = 0, dropout: float = 0.0) -> list[int]:
     """Ids of one chunk. The best merge of the agenda, by score and then from the left, comes next; it is skipped,
     for good, if the hash of (key, chunk, place, piece) falls under the dropout."""
-    rank, merged, limit, own_hash = vocabulary.rank, vocabulary.merged, int(dropout * (1 << 32)), _text_hash(chunk)
+    rank, merged, limit = vocabulary.rank, vocabulary.merged, int(dropout * (1 << 32))
+    own_hash = int(_text_hashes(_code_points(chunk), np.array([0]), np.array([len(chunk)]))[0])
     text, n = list(chunk), len(chunk)
     before, after = list(range(-1, n - 1)), [*range(1, n), -1]
     agenda: list[tuple[int, int, int, int]] = []
@@ -119,12 +126,12 @@ def encode_chunk(vocabulary: Vocabulary, chunk: str, key: int = 0, dropout: floa
     return out
 
 
-def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, dropout: float) -> list[np.ndarray]:
-    """encode_chunk for many chunks at once: each step does, or skips, the best merge of every chunk's agenda."""
+def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
+    """encode_chunk for many chunks at once, as packed int32: each step does, or skips, the best merge of every chunk's agenda."""
     characters, pairs, pair_rank, rank_piece = vocabulary.arrays
     limit, none = K.U(int(dropout * (1 << 32))), np.int64(1) << 62
-    points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
-    size = np.array([len(c) for c in chunks], np.int64)
+    points = _code_points("".join(chunks))
+    size = np.fromiter(map(len, chunks), np.int64, len(chunks))
     end = np.cumsum(size)
     start = end - size
     n = len(points)
@@ -132,7 +139,7 @@ def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, d
     after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
     after[end - 1] = -1
     before[start] = -1
-    hashes = np.array([_text_hash(c) for c in chunks], K.U)
+    hashes = _text_hashes(points, start, size)
 
     def agenda_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank and place of merging the symbols at two places, `none` if they make no piece."""
@@ -174,7 +181,8 @@ def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, d
     out = np.repeat(ids, width).astype(np.int32)
     for at, own in zip(cuts[unknown].tolist(), as_bytes):
         out[at:at + len(own)] = [vocabulary.bytes[b] for b in own]
-    return [out[a:b] for a, b in zip(cuts[start].tolist(), cuts[end].tolist())]
+    packed = out.tobytes()
+    return [packed[a:b] for a, b in zip((4 * cuts[start]).tolist(), (4 * cuts[end]).tolist())]
 
 
 class Encoder:
@@ -193,7 +201,7 @@ class Encoder:
     def _learn(self, missing: dict[tuple[str, int], None]) -> dict[tuple[str, int], bytes]:
         short = [x for x in missing if len(x[0]) <= self.LONG]
         keys = np.array([self.keys[v] for _, v in short], K.U)
-        new = dict(zip(short, (x.tobytes() for x in encode_chunks(self.vocabulary, [c for c, _ in short], keys, self.dropout)))) if short else {}
+        new = dict(zip(short, encode_chunks(self.vocabulary, [c for c, _ in short], keys, self.dropout))) if short else {}
         if self.kept + len(new) > CACHED:
             self.kept = 0
             for held in self.known:
