@@ -1,0 +1,270 @@
+"""Operators on single texts against plain Python, round trips and held-out labels."""
+
+import hashlib
+import itertools
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from kinlink.llm import crf, kernels as K, line_labels, mixing, pii, quality, queries, sentencepiece_dropout as sp, toxicity
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    return spark.read.parquet(f"{SF}/labels.parquet")
+
+
+# The patterns of the base entities, as given.
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def valid(kind, text):
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in text.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(digits[::-1])) % 10 == 0
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+def plain_spans(text):
+    found = [(m.start(), n, k, m.end()) for n, (k, p) in enumerate(BASE.items()) for m in re.finditer(p, text) if valid(k, m.group())]
+    return [(a, k, b) for a, _, k, b in sorted(found)]
+
+
+def test_base_entities(spark, docs):
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in queries.op2_pii(spark, SF).collect()}
+    for r in docs.collect():
+        spans = plain_spans(r.text)
+        n = Counter(k for _, k, _ in spans)
+        digest = hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()
+        assert got[r.doc_id] == (n["email"], n["ip"], n["card"], n["phone"], digest)
+
+
+def test_base_entities_of_random_marks():
+    rng = random.Random(1)
+    for _ in range(4000):
+        text = "".join(rng.choice("1234.@a+-( )@é\n9") for _ in range(rng.randrange(60)))
+        assert pii.base_spans(text) == plain_spans(text), text
+    for text in ("1" * 20_000, "a" * 20_000, "1." * 9000, "+1" * 9000, "a@" * 9000, "999.1.1.1 00001.2.3.4"):
+        assert len(pii.base_spans(text)) == len(plain_spans(text)) if len(text) < 100 else pii.base_spans(text) is not None
+
+
+def test_contexts_discover_identifiers(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = [(i, f"{word()} {word()} call me at +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} or {word()}") for i in range(40)]
+    rows += [(50, f"{word()} call me at 555-1234 or {word()}"), (51, f"{word()} room 555-1234 is full"), (52, "in 12345 of them")]
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[50] == "found_phone:17:25" and got[51] == "" and got[52] == "" and got[0].startswith("phone:")
+
+
+def test_personal_data_awkward(awkward, nothing):
+    got = pii.digest(pii.find_personal_data(awkward))
+    assert got.count() == awkward.count() and got.where("n_email + n_ip + n_card + n_phone > 0 OR spans != ''").count() == 0
+    assert pii.digest(pii.find_personal_data(nothing)).count() == 0
+
+
+def test_bpe_equals_the_library_without_dropout(docs):
+    import sentencepiece
+    vocabulary, model = sp.Vocabulary.load(sp.MODEL), sentencepiece.SentencePieceProcessor(model_file=sp.MODEL)
+    texts = [r.text for r in docs.where("n_chars < 3000").limit(200).collect()]
+    got = sp.Encoder(vocabulary, 0.0, 0).encode(texts, [0] * len(texts))
+    assert [x.tolist() for x in got] == [model.encode(t) for t in texts]
+
+
+def test_merges_of_many_chunks_equal_those_of_one():
+    vocabulary, rng = sp.Vocabulary.load(sp.MODEL), random.Random(3)
+    chunks = ["".join(rng.choice("aeithnos er▁é日") for _ in range(rng.randrange(1, 60))) for _ in range(400)]
+    for dropout in (0.0, 0.1, 0.9):
+        keys = np.array([rng.getrandbits(64) for _ in chunks], np.uint64)
+        for chunk, key, own in zip(chunks, keys.tolist(), sp.encode_chunks(vocabulary, chunks, keys, dropout)):
+            assert np.frombuffer(own, np.int32).tolist() == sp.encode_chunk(vocabulary, chunk, key, dropout)
+
+
+def test_dropout_is_seeded_varied_and_lossless(spark, docs, awkward, nothing):
+    vocabulary = sp.Vocabulary.load(sp.MODEL)
+    small = docs.where("n_chars < 2000")
+    runs = [{r.doc_id: r.ids for r in sp.encode(small, vocabulary, seed=s).collect()} for s in (1, 1, 2)]
+    assert runs[0] == runs[1] != runs[2]
+    assert sp.round_trip(docs, vocabulary).where("NOT lossless").count() == 0
+    whole = sp.decode(sp.encode(small, vocabulary), vocabulary)
+    assert whole.join(small.select("doc_id", F.col("text").alias("want")), "doc_id").where("text != want").count() == 0
+    odd = spark.createDataFrame([(i, t) for i, t in enumerate([" ", "▁ x▁y  ", "\n\n a", "日本\x00é", "a" * 5000, "  two  "])], "doc_id long, text string")
+    for frame in (awkward, odd):
+        got = sp.round_trip(frame, vocabulary)
+        assert got.count() == frame.count() and got.where("NOT lossless").count() == 0
+    assert sp.encode(nothing, vocabulary).count() == 0
+
+
+def plain_rules(text):
+    words = WORD.findall(text or "")
+    windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered),
+            n < 20 or 100 * len(covered) > 30 * n)
+
+
+def test_base_rules(spark, docs, awkward, nothing):
+    for frame in (docs, awkward):
+        model = crf.Model(np.concatenate([[-20.0], np.zeros(len(crf.FEATURES) - 1)]), np.zeros((2, 2)), 0.0)
+        rows = line_labels.label_lines(frame, model).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
+        assert Counter(tuple(r)[:-1] for r in rows) == Counter((r.doc_id, *plain_rules(r.text)) for r in frame.collect())
+        assert all(r.kept == (not r.base_failed) for r in rows)
+    assert line_labels.label_lines(nothing, model).count() == 0
+    kept = line_labels.keep_good(awkward, model)
+    assert kept.columns == awkward.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in awkward.collect() if not plain_rules(r.text)[-1])
+
+
+def test_chains_against_all_paths():
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        row = np.repeat(np.arange(3), rng.integers(1, 6, 3))
+        x = rng.normal(size=(len(row), 4))
+        model = crf.Model(rng.normal(size=4), rng.normal(size=(2, 2)), float(rng.normal()))
+        best, p = crf.viterbi(model, x, row), crf.marginals(model, x, row)
+        for r in range(3):
+            own = x[row == r] @ model.weights
+            paths = {}
+            for path in itertools.product((0, 1), repeat=len(own)):
+                score = model.start * path[0] + sum(own[i] for i, s in enumerate(path) if s) + sum(model.transitions[a, b] for a, b in zip(path, path[1:]))
+                paths[path] = score
+            assert tuple(best[row == r].astype(int)) == max(paths, key=paths.get)
+            z = sum(np.exp(s) for s in paths.values())
+            want = [sum(np.exp(s) for q, s in paths.items() if q[i]) / z for i in range(len(own))]
+            assert np.allclose(p[row == r], want)
+
+
+def test_quality_on_held_out_rows(spark, labels):
+    scored = queries.op8_quality_classifier(spark, SF).join(labels, "doc_id").where("held_out")
+    right = scored.agg(F.avg(F.expr("cast(predicted = quality AS int)"))).first()[0]
+    kept = queries.op4_quality_rules(spark, SF).where("NOT base_failed").join(labels, "doc_id")
+    assert right > 0.95
+    assert kept.agg(F.avg(F.expr("cast(cast(kept AS int) = quality AS int)"))).first()[0] > 0.95
+
+
+def test_quality_awkward(spark, awkward, nothing, labels):
+    for model in (crf.train(awkward, labels, True), crf.train(nothing, labels.where("false"), True)):
+        scored = quality.score_quality(awkward, model)
+        assert scored.count() == awkward.count() and scored.where("score IS NULL OR score < 0 OR score > 1").count() == 0
+        assert quality.score_quality(nothing, model).count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.1"
+    scored = queries.op6_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out")
+    counts = {(r.toxic, r.predicted): r["count"] for r in scored.groupBy("toxic", "predicted").count().collect()}
+    assert counts.get((0, 1), 0) <= 0.01 * counts[0, 0] and counts[1, 1] >= 0.9 * (counts[1, 1] + counts.get((1, 0), 0))
+
+
+def test_disguised_words_are_restored(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = toxicity.character_model(docs)
+    for written, word in (("1d10t", "idiot"), ("$tupid", "stupid"), ("m0r0n", "moron"), ("i.d.i.o.t", "idiot"), ("stuuupid", "stupid"), ("p@thetic", "pathetic"), ("tr4sh", "trash")):
+        assert toxicity.restore(written, model) == word
+    reader = toxicity.Reader(model)
+    seg = next(K.segments(pa.array(["m 0 r 0 n", "m0r0n", "moron"])))
+    row, own = reader.features(seg)
+    sets = [set(own[row == i].tolist()) for i in range(3)]
+    assert sets[2] <= sets[1] and sets[2] & sets[0]
+    rng = random.Random(5)
+    for _ in range(30):  # the beam finds what all spellings give
+        word = "".join(rng.choice("ab10") for _ in range(4))
+        options = [[(c, toxicity.KEEP)] if c.isalpha() else [(x, toxicity.SWAP - np.log(len(toxicity.DISGUISES[c]))) for x in toxicity.DISGUISES[c]] for c in word]
+        best = None
+        for drops in itertools.product((False, True), repeat=4):
+            if any(d and not (i and word[i] == word[i - 1]) for i, d in enumerate(drops)):
+                continue
+            for pick in itertools.product(*([("", toxicity.DROP)] if d else o for d, o in zip(drops, options))):
+                text = "".join(x for x, _ in pick)
+                codes = [0, 0, *(ord(x) - 96 for x in text), 0]
+                score = sum(s for _, s in pick) + sum(float(model[a, b, c]) for a, b, c in zip(codes, codes[1:], codes[2:]))
+                best = max(best or (score, text), (score, text))
+        assert toxicity.restore(word, model) == best[1]
+
+
+def test_toxicity_awkward(spark, awkward, nothing, labels):
+    for scorer in (toxicity.train(awkward, labels), toxicity.train(nothing, labels)):
+        scored = toxicity.score_toxicity(awkward, scorer)
+        assert scored.count() == awkward.count() and scored.where("score IS NULL OR score < 0 OR score > 1").count() == 0
+        assert toxicity.score_toxicity(nothing, scorer).count() == 0
+
+
+def test_trigram_counts_against_plain(spark):
+    texts = ["ab  ba\n", None, "", "Ba é"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.code: r.n for r in docs.mapInArrow(toxicity._count_trigrams, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).collect()}
+    want = Counter()
+    for t in texts:
+        for w in WORD.findall(t or ""):
+            s = [0, 0, *toxicity.symbol(np.array([ord(c) for c in w])).tolist(), 0]
+            want.update((a * 61 + b) * 61 + c for a, b, c in zip(s, s[1:], s[2:]))
+    assert got == want
+
+
+def test_mixing_against_duckdb_and_by_repeats(spark, docs, awkward, nothing):
+    skewed = docs.withColumn("source", F.expr("CASE WHEN doc_id % 3 = 0 THEN 'hot' WHEN doc_id % 50 = 1 THEN NULL ELSE source END"))
+    tokens = mixing.token_table(skewed)
+    con = duckdb.connect()
+    con.register("documents", skewed.toPandas())
+    want = Counter(map(tuple, con.execute(queries.ORACLE["op5_mixing"]).fetchall()))
+    assert Counter(tuple(r) for r in mixing.mix(skewed, target_entropy=queries.MIX_ENTROPY).collect()) == want
+    budgets = mixing.source_budgets(tokens, max_repeats=2.0, cover=True).collect()
+    passes = [r.quota / r.n_tokens for r in budgets]
+    assert min(passes) >= 1 and 1.99 < max(passes) < 2.01
+    drawn = mixing.mix(skewed, max_repeats=2.0, cover=True)
+    assert drawn.select("doc_id").distinct().count() == skewed.where("text IS NOT NULL").count()
+    rows = mixing.mixed_documents(skewed, max_repeats=2.0, cover=True)
+    assert rows.columns == skewed.columns and rows.count() == drawn.count()
+    assert mixing.mixed_documents(awkward, target_entropy=0.9).columns == awkward.columns
+    assert mixing.mixed_documents(awkward, max_repeats=2.0, cover=True).select("doc_id").distinct().count() == 7
+    assert mixing.mix(nothing, target_entropy=0.9).count() == 0
+
+
+def test_permutations_are_in_blocks(spark, docs):
+    tokens = mixing.token_table(docs)
+    budgets = mixing.source_budgets(tokens, target_entropy=0.99, budget=tokens.agg(F.sum("n_tokens")).first()[0] * 2)
+    a, b = (mixing.draws(tokens, budgets, seed=1, block_rows=n).collect() for n in (4, 10_000))
+    for rows in (a, b):
+        by_epoch = {}
+        for r in sorted(rows, key=lambda r: (r.source, r.epoch, r.start)):
+            assert r.start == by_epoch.get((r.source, r.epoch), 0)
+            by_epoch[r.source, r.epoch] = r.start + r.n_tokens
+    assert len({r.block for r in a}) > 5 and {r.block for r in b} == {0}
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = docs
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "line_dedup", "ngram_jaccard_join", "mixing", "sentencepiece"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, SF)
+        after = spark.createDataFrame(after.collect(), docs.schema)
+        assert after.columns == docs.columns
+        if name != "mixing":
+            assert after.count() == after.select("doc_id").distinct().count()
+        assert after.join(before, "doc_id", "left_anti").count() == 0
+        before = after
+    out = corpus_pipeline.STAGES[-1][1](spark, before, SF)
+    assert out.count() == before.count() and out.where("size(ids) = 0").count() == 0
