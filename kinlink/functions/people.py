@@ -41,8 +41,13 @@ def age_on(birth: Column, as_of: Column) -> Column:
 
 
 def match_id(doc_1: Column, doc_2: Column) -> Column:
-    """`doc1_doc2`; NULL when a document is missing, as such a pair has no key."""
-    return F.concat(doc_1, F.lit("_"), doc_2)
+    """`doc1_doc2`; NULL when a document is missing, as such a pair has no key.
+
+    An underscore or backslash inside a document gets a backslash before it, so that an id stands for
+    one pair of documents.
+    """
+    plain = lambda doc: F.regexp_replace(doc, r"([_\\])", r"\\$1")
+    return F.concat(plain(doc_1), F.lit("_"), plain(doc_2))
 
 
 def cpf_check_digits(base: Column) -> Column:

@@ -4,9 +4,9 @@ Every join of this engine that pairs rows inside groups (blocks, LSH buckets) go
 `pair_rows`. Each row carries one key or several (passes); two rows meet in the first pass
 whose keys agree, so no de-duplication shuffle is needed afterwards.
 
-A key is hot when its number of pairs is above a budget. The list of hot keys is limited in
-length, which bounds what is broadcast; it only steers how rows are spread, never which pairs
-are found. Rows with hot keys are first given finer keys where the caller knows some, then
+A key is hot when its number of pairs is above a budget. Every hot key is treated as one, however
+many there are: the list is counted, and broadcast only up to a bounded length; a longer one is
+joined like any table. Without hot keys the join is the plain one. Rows with hot keys are first given finer keys where the caller knows some, then
 laid out on a grid: the left rows of a hot key are cut into slices, the right rows too, and each
 cell of the grid is a join key of its own.
 """
@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kinlink.sources.scratch import written
+
 STRATEGIES = ("auto", "plain", "broadcast", "shuffle_hash", "salted")
 
 # Names of the technical columns.
@@ -27,7 +29,7 @@ PASS, KEY, KEYS, SUB, SUBKEY, CELL = "_pass", "_key", "_keys", "_sub", "_subkey"
 class SkewConfig:
     pair_budget: int = 25_000_000   # a key with more pairs than this is hot
     slice_rows: int = 5_000         # rows of one side in one grid cell
-    max_hot_keys: int = 10_000      # bound of the broadcast list
+    max_hot_keys: int = 10_000      # longest list of hot keys that is broadcast
     tiny_bytes: int = 1 << 20       # a side below this needs no look for hot keys
     spread_bytes: int = 256 << 20   # a side below this has few splits and is spread over the cores
 
@@ -45,7 +47,10 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    """The session's limit in bytes; a negative setting means never."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
+    if text.startswith("-"):
+        return -1
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
@@ -71,31 +76,31 @@ def _first_agreeing(left: list[Column], right: list[Column]) -> Column:
 
 
 def hot_keys(a: DataFrame, b: DataFrame, keys: list[str], cfg: SkewConfig) -> DataFrame:
-    """The keys with the most pairs, above the budget, at most `max_hot_keys` of them."""
+    """The keys with more pairs than the budget."""
     sides = a.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
         b.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
     counts = sides.groupBy(*keys).agg(F.sum("l").alias("n1"), F.sum("r").alias("n2"))
     pairs = F.col("n1").cast("double") * F.col("n2")
-    return (
-        counts.where(pairs > cfg.pair_budget)
-        .orderBy(pairs.desc(), *keys)
-        .limit(cfg.max_hot_keys)
-    )
+    return counts.where(pairs > cfg.pair_budget)
 
 
 def hot_small_side(small: DataFrame, keys: list[str], cfg: SkewConfig) -> DataFrame:
     """Keys with many rows on the side that is broadcast; found without reading the other side."""
     counts = small.groupBy(*keys).agg(F.count("*").alias("n"))
-    return (
-        counts.where(F.col("n") > cfg.slice_rows)
-        .orderBy(F.desc("n"), *keys).limit(cfg.max_hot_keys)
-    )
+    return counts.where(F.col("n") > cfg.slice_rows)
+
+
+def _listed(hot: DataFrame, cfg: SkewConfig) -> DataFrame | None:
+    """The list of hot keys, written once and marked for broadcast if it is short; None without any."""
+    hot = written(hot, "hot-keys")
+    n = hot.count()
+    return None if n == 0 else F.broadcast(hot) if n <= cfg.max_hot_keys else hot
 
 
 def _refine(df: DataFrame, hot: DataFrame, finer: FinerKeys) -> DataFrame:
     """Rows of hot keys: one copy per finer attribute they have. Other rows: one copy, sub -1."""
-    marked = df.join(F.broadcast(hot.select(PASS, KEY, F.lit(True).alias("_hot"))), [PASS, KEY], "left")
+    marked = df.join(hot.withColumn("_hot", F.lit(True)).select(PASS, KEY, "_hot"), [PASS, KEY], "left")
     entry = lambda i, value: F.struct(F.lit(i).alias(SUB), value.alias(SUBKEY))
     fine = F.array(*[entry(i, F.col(c)) for i, c in enumerate(finer.names)])
     whole = F.array(entry(-1, F.lit("")))
@@ -116,7 +121,7 @@ def _on_grid(df: DataFrame, hot: DataFrame, keys: list[str], side: int, cfg: Ske
     draw = F.xxhash64(*spread_by, F.spark_partition_id())
     spread = (
         df.withColumn("_draw", draw)
-        .join(F.broadcast(hot), keys, "left")
+        .join(hot, keys, "left")
         .withColumn("_own", F.pmod(F.col("_draw"), slices(mine).cast("long")))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), slices(other) - 1)))
     )
@@ -157,28 +162,30 @@ def pair_rows(
         # The estimate does not know that exploding the passes multiplies the rows.
         size_l, size_r = estimated_bytes(left) * copies, estimated_bytes(right) * copies
         fits = min(size_l, size_r) <= broadcast_limit(left)
-        if strategy == "auto" and not fits:
+        if not fits:
             strategy = "salted"
-        elif fits:
+        else:
             # The small side is broadcast, which leaves the other one where it is: no shuffle, no
             # skewed task. Only the work per row can grow, within a hot key of the small side.
             small_is_right = size_r <= size_l
             if has_finer and min(size_l, size_r) > skew.tiny_bytes:
-                hot = hot_small_side(right if small_is_right else left, join_on, skew)
-                left, right, refined = _refine(left, hot, finer), _refine(right, hot, finer), True
+                hot = _listed(hot_small_side(right if small_is_right else left, join_on, skew), skew)
+                if hot is not None:
+                    left, right, refined = _refine(left, hot, finer), _refine(right, hot, finer), True
             # Pair work grows with the square of the rows, so a table of one or two splits would
             # keep one or two cores busy. It is spread; larger ones come in many splits anyway.
             if max(size_l, size_r) <= skew.spread_bytes:
                 cores = a.sparkSession.sparkContext.defaultParallelism
                 left, right = (left.repartition(cores), right) if small_is_right else (left, right.repartition(cores))
             left, right = (left, F.broadcast(right)) if small_is_right else (F.broadcast(left), right)
-    if strategy == "salted" and has_finer:
-        hot = hot_keys(left, right, join_on, skew)
+    hot = _listed(hot_keys(left, right, join_on, skew), skew) if strategy == "salted" else None
+    if hot is not None and has_finer:
         left, right, refined = _refine(left, hot, finer), _refine(right, hot, finer), True
     if refined:
         join_on = join_on + [SUB, SUBKEY]
-    if strategy == "salted":
-        hot = hot_keys(left, right, join_on, skew)
+    if hot is not None and has_finer:
+        hot = _listed(hot_keys(left, right, join_on, skew), skew)
+    if hot is not None:
         left = _on_grid(left, hot, join_on, 1, skew, cols_a)
         right = _on_grid(right, hot, join_on, 2, skew, cols_b)
         join_on = join_on + [CELL]

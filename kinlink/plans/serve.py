@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from kinlink.functions.people import age_on, match_id, parse_date
 from kinlink.operators.ranking import top_per_group
 from kinlink.schema import SERVED_COLUMNS, SERVED_SCHEMA
+from kinlink.sources.scratch import written
 from kinlink.sources.tables import is_missing
 
 LOAD = "load_seq"
@@ -79,6 +81,7 @@ def load_served(docs: DataFrame, path: str, mode: str = "overwrite", batch_size:
     target = f"{path}/{LOAD}={load_seq}"
     if mode == "append" and not is_missing(docs.sparkSession, target):
         raise ValueError(f"load {load_seq} is in the table already")
+    docs = written(docs, "load")   # rows to keep and rows to reject come from one run of the source
     out = one_per_id(docs).withColumn(LOAD, F.lit(load_seq))
     (
         out.write.mode(mode).partitionBy(LOAD)
@@ -89,20 +92,21 @@ def load_served(docs: DataFrame, path: str, mode: str = "overwrite", batch_size:
     )
     bad = f"{path}_rejected/{LOAD}={load_seq}"
     rejected(docs).write.mode("overwrite").parquet(bad)
-    spark = docs.sparkSession
-    # Both counts come from the footers of what was written.
-    return spark.read.parquet(target).count(), spark.read.parquet(bad).count()
+    read = docs.sparkSession.read
+    # Both counts come from the footers of what was written. A load of no rows leaves no folder of its own.
+    kept = read.schema(out.schema).parquet(path).where(F.col(LOAD) == load_seq)
+    return kept.count(), read.schema(docs.schema).parquet(bad).count()
 
 
-def loads_of(table: DataFrame) -> set[str]:
-    """The loads a table consists of, from the names of its files; no file is opened."""
-    return {part for f in table.inputFiles() for part in f.split("/") if part.startswith(f"{LOAD}=")}
+def several_loads(table: DataFrame) -> bool:
+    return table.select(LOAD).distinct().limit(2).count() > 1
 
 
 def read_served(spark: SparkSession, path: str) -> DataFrame:
     """The table as searches see it: one row per id."""
-    rows = spark.read.parquet(path)
-    if len(loads_of(rows)) > 1:
+    load = StructField(LOAD, IntegerType())
+    rows = spark.read.schema(StructType([*SERVED_SCHEMA.fields, load])).parquet(path)
+    if several_loads(rows):
         rows = one_per_id(rows)
     return rows.select(*SERVED_COLUMNS)
 

@@ -189,3 +189,20 @@ def test_plan_has_one_arrow_udf_and_bounds_in_the_join(persons, spark):
 def test_unknown_strategy(persons):
     with pytest.raises(ValueError):
         match(*persons, MatchConfig(strategy="magic"))
+
+
+def test_broadcasts_switched_off(spark, persons):
+    expect = rows(match(*persons, MatchConfig(strategy="plain")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(match(*persons, MatchConfig(strategy="auto"))) == expect
+        assert rows(match(*persons, MatchConfig(strategy="broadcast"))) == expect
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_more_hot_keys_than_the_list_that_is_broadcast(persons):
+    expect = rows(match(*persons, MatchConfig(strategy="plain")))
+    cfg = SkewConfig(pair_budget=1, slice_rows=2, max_hot_keys=1)
+    assert rows(match(*persons, MatchConfig(strategy="salted", skew=cfg))) == expect

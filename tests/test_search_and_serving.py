@@ -151,3 +151,24 @@ def test_stats_and_report(served):
     assert got["age_diff_count"] == served.count() and got["min_similarity"] <= got["avg_similarity"] <= got["max_similarity"]
     report = stats.run_report(2.9, served).first()
     assert report["seconds"] == 2 and report["matches_per_second"] == served.count() // 2
+
+
+def test_total_hits_counts_without_a_limit(served):
+    total = search.total_hits(search.quality_hits(served, 0.8))
+    plan = total._jdf.queryExecution().toString()
+    assert "Limit" not in plan and "Sort" not in plan and "rangepartitioning" not in plan
+    assert total.first()[0] == served.where("similarity_score >= 0.8").count()
+
+
+def test_an_id_stands_for_one_pair(spark):
+    from kinlink.functions.people import match_id
+    rows = [("1_2", "3"), ("1", "2_3"), ("1\\", "2"), ("1", "\\2"), ("12", "3")]
+    got = [r[0] for r in spark.createDataFrame(rows, "a string, b string").select(match_id(F.col("a"), F.col("b"))).collect()]
+    assert len(set(got)) == 5 and got[4] == "12_3"
+
+
+def test_a_load_of_no_rows(spark, served, folder):
+    assert serve.load_served(served.where("false"), f"{folder}/t") == (0, 0)
+    assert serve.read_served(spark, f"{folder}/t").count() == 0
+    assert serve.load_served(served, f"{folder}/t", "append", load_seq=1) == (served.count(), 0)
+    assert serve.read_served(spark, f"{folder}/t").count() == served.count()

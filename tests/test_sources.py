@@ -157,3 +157,20 @@ def test_scratch_uses_the_folder_the_cluster_names(spark, folder):
         assert scratch_path(spark, "x").startswith(before.rstrip("/"))
     df = written(spark.range(5), "numbers")
     assert df.count() == 5
+
+
+def test_listed_files_are_all_read(spark, persons, folder):
+    from kinlink.sources import files, tables
+    a = persons[0]
+    root = f"{folder}/in put"
+    for part, where in enumerate(("", "/sub", "/sub/day=2024-01-01 00%3A00")):
+        a.where(f"pmod(hash(nr_documento), 3) = {part}").coalesce(1).write.mode("append").parquet(f"{root}{where}")
+    listed = files.list_files(spark, root, "*.parquet")
+    stored = spark.createDataFrame(listed.collect(), listed.schema)
+    assert stored.count() == 3
+    assert sorted(map(str, tables.rows_of_files(spark, root, stored).collect())) == sorted(map(str, a.collect()))
+    one = stored.where("path LIKE '%/sub/part%'")
+    assert tables.rows_of_files(spark, root, one).count() == a.where("pmod(hash(nr_documento), 3) = 1").count()
+    assert tables.rows_of_files(spark, root, stored.where("false")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        tables.rows_of_files(spark, root, stored.withColumn("path", F.concat("path", F.lit("x"))))

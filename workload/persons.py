@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# The name lists behind the published fixture counts.
-FIRST = ("Joao Maria Jose Ana Pedro Carla Paulo Juliana Carlos Fernanda Ricardo Patricia Fernando "
-         "Beatriz Rodrigo Camila Hugo Wagner Thiago Heitor").split()
-LAST = ("Silva Santos Oliveira Souza Rodrigues Ferreira Alves Pereira Lima Gomes Costa Ribeiro "
-        "Martins Carvalho Rocha Almeida Pfister Araujo Melo Ashcraft").split()
+# Invented names, twenty of each; some have the letters that phonetic codes treat apart (H, W, Pf, shcr).
+FIRST = ("Adovir Belmina Cardelo Dulvira Enastor Filomar Gundelo Hermira Ilvano Jocasta Kelmiro Ludonia "
+         "Marsilo Nerissa Ofelmo Pradina Quintelo Rosmira Wandelmo Zulmar").split()
+LAST = ("Ashcroft Bordalvo Cintrago Drumelo Estrevano Fargundes Galvaneto Hortelano Ibarruna Jaquemino "
+        "Lobrando Mirandolo Norvaes Ostermano Pfistermo Quentalo Ravasco Salgarelo Tibaldo Wolfrano").split()
 STATUS = ["Ativo", "Inativo", "Pendente", "Bloqueado"]
 OTHER = 1000003   # key offset of the people of B that are not in A
 

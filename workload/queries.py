@@ -25,7 +25,7 @@ ORACLE: dict[str, str] = {}
 ROUNDED = MatchConfig(score_digits=9)
 PHONETIC = MatchConfig(score_digits=9, blocks=("phonetic",), max_age_gap=5)
 AS_OF = date(2025, 6, 30)
-NAME, DOCUMENT = "Maria Souza Pereira", "00004306234"
+NAME, DOCUMENT = "Belmina Drumelo Hortelano", "00004306234"
 
 
 def query(name: str, oracle: str | None = None):
@@ -276,8 +276,8 @@ def search_document_batch(spark, d):
     return search.search_documents_batch(asked, served(spark, d))
 
 
-# "Mraia" needs a swap, "Pereyra" one replacement.
-FUZZY, FUZZY_WORDS = "Mraia Pereyra", [("mraia", 1), ("pereyra", 2)]
+# "Blemina" needs a swap, "Hortelanno" one letter less.
+FUZZY, FUZZY_WORDS = "Blemina Hortelanno", [("blemina", 2), ("hortelanno", 2)]
 
 
 @query("search_name_fuzzy", _hits(
@@ -287,9 +287,9 @@ def search_name_fuzzy(spark, d):
 
 
 @query("search_name_phrase", _hits(
-    " OR ".join(sql.phrase(f"nome_completo_{n}", "souza pereira") for n in (1, 2)), 10))
+    " OR ".join(sql.phrase(f"nome_completo_{n}", "drumelo hortelano") for n in (1, 2)), 10))
 def search_name_phrase(spark, d):
-    return search.search_by_name(served(spark, d), "Souza Pereira", fuzzy=False)
+    return search.search_by_name(served(spark, d), "Drumelo Hortelano", fuzzy=False)
 
 
 @query("search_min_score", _hits("similarity_score >= 0.8", 100))
@@ -304,7 +304,7 @@ def search_age_range(spark, d):
 
 @query("search_total_hits", sql.SERVED + "\nSELECT count(*) AS total_hits FROM served WHERE similarity_score >= 0.8")
 def search_total_hits(spark, d):
-    return search.total_hits(search.search_high_quality(served(spark, d), top=2**31 - 1))
+    return search.total_hits(search.quality_hits(served(spark, d), 0.8))
 
 
 @query("match_stats", sql.SERVED + """
@@ -374,9 +374,19 @@ def datasets_changed(spark, d):
     return files.datasets_changed(current, previous)
 
 
-@query("file_listing")
+LISTED = "region nation customer supplier part orders lineitem events".split()
+
+
+@query("file_listing", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in LISTED))
 def file_listing(spark, d):
-    return files.list_files(spark, d, "*.parquet")
+    """Rows of the listed files of each table, found by the names in the listing."""
+    listed = files.list_files(spark, d, "*.parquet").select("path")
+    table = F.regexp_extract("path", r"/([a-z]+)\.parquet", 1)
+    rows = None
+    for t in LISTED:
+        own = read(spark, d, t).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+        rows = own if rows is None else rows.unionByName(own)
+    return (listed.join(rows, "path").groupBy(table.alias("table_name")).agg(F.sum("n").alias("n_rows")))
 
 
 # --- sinks, read back -------------------------------------------------------------------------
