@@ -15,7 +15,7 @@ from kinlink.llm.store import written
 SCALE = 1024
 #: Vectors in a block; a cell holds one block of queries and one of candidates.
 BLOCK = 4096
-LEAF = 24
+LEAF, FANOUT = 128, 64
 
 
 @dataclass
@@ -31,23 +31,33 @@ class Node:
 
 
 def cover_tree(x: np.ndarray, points: np.ndarray | None = None, center: int | None = None) -> Node:
-    """A cover tree over rows of x. Children's centers are more than half the radius apart and cover the node at that distance."""
+    """A cover tree over rows of x. Children's centers are more than half the radius apart and cover their points at that distance.
+
+    Where the points are too far apart for FANOUT children to cover them, those left over, and children of a few
+    points, are bundled in a leaf around the node's own center.
+    """
     points = np.arange(len(x)) if points is None else points
     center = int(points[0]) if center is None else center
     away = np.sqrt(((x[points] - x[center]) ** 2).sum(1))
-    radius = float(away.max(initial=0.0))
-    node = Node(x[center], radius, float(np.sqrt((x[center] ** 2).sum())), points)
-    if len(points) <= LEAF or radius == 0.0:
+    node = Node(x[center], float(away.max(initial=0.0)), float(np.sqrt((x[center] ** 2).sum())), points)
+    if len(points) <= LEAF or node.radius == 0.0:
         return node
-    left, reach = points, away
-    own = center
-    while len(left):
-        near = reach <= radius / 2
-        node.children.append(cover_tree(x, left[near], own))
+    left, reach, own, loose = points, away, center, []
+    for _ in range(FANOUT):
+        near = reach <= node.radius / 2
+        if near.sum() > LEAF // 8:
+            node.children.append(cover_tree(x, left[near], own))
+        else:
+            loose.append(left[near])
         left = left[~near]
-        if len(left):
-            own = int(left[0])
-            reach = np.sqrt(((x[left] - x[own]) ** 2).sum(1))
+        if not len(left):
+            break
+        own = int(left[0])
+        reach = np.sqrt(((x[left] - x[own]) ** 2).sum(1))
+    loose = np.concatenate([*loose, left])
+    if len(loose) and node.children:
+        radius = float(np.sqrt(((x[loose] - x[center]) ** 2).sum(1)).max())
+        node.children.append(Node(node.center, radius, node.norm, loose))
     return node
 
 
@@ -67,18 +77,21 @@ def dual_search(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarr
 
     def leaves(q: Node, c: Node) -> None:
         scores = queries[q.points] @ candidates[c.points].T
-        for i, row in zip(q.points.tolist(), scores):
-            for j in np.flatnonzero(row >= kth[i]).tolist():
-                other = int(ids[c.points[j]])
-                if other == query_ids[i]:
-                    continue
-                entry = (int(row[j]), -other)
-                if len(best[i]) < k:
-                    heapq.heappush(best[i], entry)
-                elif entry > best[i][0]:
-                    heapq.heapreplace(best[i], entry)
-                if len(best[i]) == k:
-                    kth[i] = best[i][0][0]
+        least = kth[q.points]
+        if scores.shape[1] > k + 1:  # no more than k of these, but for ties and the query itself, can matter
+            least = np.maximum(least, np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)])
+        at, hits = np.nonzero(scores >= least[:, None])
+        for i, row, j in zip(q.points[at].tolist(), at.tolist(), hits.tolist()):
+            other, score = int(ids[c.points[j]]), int(scores[row, j])
+            if other == query_ids[i] or score < kth[i]:
+                continue
+            entry = (score, -other)
+            if len(best[i]) < k:
+                heapq.heappush(best[i], entry)
+            elif entry > best[i][0]:
+                heapq.heapreplace(best[i], entry)
+            if len(best[i]) == k:
+                kth[i] = best[i][0][0]
         q.worst = float(kth[q.points].min())
 
     def visit(q: Node, c: Node, most: float) -> None:
