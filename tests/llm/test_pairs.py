@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -203,3 +204,30 @@ def test_prefixes_share_enough(n):
         order = lambda s: sorted(s, key=lambda t: hash((t, "o")))
         px, py = (set(order(s)[:ngram_join.prefix_length(len(s))]) for s in (x, y))
         assert len(px & py) >= max(1, ngram_join.required(len(x)) // 10)
+
+
+def test_pairs_of_lines_at_and_about_the_limit():
+    rng = random.Random(5)
+    lines = ["".join(rng.choice("abc é漢") for _ in range(rng.choice([8, 9, 40, 300]))) for _ in range(150)]
+    x = [line for line in lines for _ in range(8)] + ["z" * 200_000, "abcdefgh" * 40_000]
+    y = [line[:cut] + "#" * extra + line[cut + extra:] for line in lines
+         for cut, extra in ((0, 0), (len(line), 3), (len(line) // 2, 1), (len(line) // 3, 2), (1, 1), (len(line), 1), (len(line), 10), (len(line), 75))]
+    y += ["z" * 200_000, "abcdefgh" * 39_000 + "y"]
+    expect = [line_dedup.near(line_dedup.shingles(a), line_dedup.shingles(b)) for a, b in zip(x, y)]
+    got = line_dedup.near_pairs(pa.array(x), pa.array(y)).tolist()
+    assert got == expect and 0 < sum(expect) < len(expect)
+    assert len(line_dedup.near_pairs(pa.array([], pa.string()), pa.array([], pa.string()))) == 0
+
+
+def test_small_and_large_cells_give_links_of_one_kind():
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(12)]
+    rows = [(i, i, base[i % 12] + "!" * (i // 12)) for i in range(36)]
+    batch = lambda cells: pa.RecordBatch.from_pylist(
+        [{"cell": c, "query": kind, "id": i, "label": label, "line": line} for c, q, ix in cells for kind, side in ((0, ix), (1, q)) for i, label, line in side])
+    few = [(c, [row], rows[c % 12::12]) for c, row in enumerate(rows)]
+    links = {n: list(line_dedup._cells(iter([batch(x)]))) for n, x in (("small", few), ("large", [(0, rows, rows)]))}
+    linked = {n: {frozenset(p) for b in x for p in zip(*(c.to_pylist() for c in b.columns))} for n, x in links.items()}
+    assert linked["large"] <= linked["small"] and len(linked["large"]) == 24
+    assert all(a % 12 == b % 12 for a, b in map(tuple, linked["small"]))
+    assert [b.num_rows for b in line_dedup._cells(iter([]))] == [0]
