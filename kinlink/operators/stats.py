@@ -53,9 +53,13 @@ def run_report(elapsed_seconds: float, matches: DataFrame) -> DataFrame:
 
 
 def run_counts(a: DataFrame, b: DataFrame, candidates: DataFrame, matches: DataFrame) -> DataFrame:
-    """Rows of both inputs, candidate pairs and matches, one row per measure."""
+    """Rows of both inputs, candidate pairs and matches, one row per measure.
+
+    `candidates` is one row with their number, as `candidate_count` gives it.
+    """
     parts = [("rows_1", a), ("rows_2", b), ("candidates", candidates), ("matches", matches)]
-    counted = [df.agg(F.count("*").alias("n")).select(F.lit(m).alias("measure"), "n") for m, df in parts]
+    number = lambda m: F.max("candidates") if m == "candidates" else F.count("*")
+    counted = [df.agg(number(m).alias("n")).select(F.lit(m).alias("measure"), "n") for m, df in parts]
     out = counted[0]
     for part in counted[1:]:
         out = out.unionByName(part)
@@ -68,7 +72,8 @@ def pair_quality(
 ) -> DataFrame:
     """Per threshold: true and false positives, misses, precision, recall; and the pair reduction.
 
-    Truth is equality of documents. `matches` must go down to the lowest threshold.
+    Truth is equality of documents. `matches` must go down to the lowest threshold. `candidates` is
+    one row with their number, as `candidate_count` gives it.
     """
     def docs(df, n):
         return df.where(F.col(doc).isNotNull()).groupBy(F.col(doc).alias("d")).agg(F.count("*").alias(n))
@@ -82,7 +87,7 @@ def pair_quality(
         hit = F.col("similarity_score") >= t
         sums += [F.count_if(hit & same).alias(f"tp{i}"), F.count_if(hit & ~same).alias(f"fp{i}")]
     totals = [a.agg(F.count("*").alias("rows_1")), b.agg(F.count("*").alias("rows_2")),
-              candidates.agg(F.count("*").alias("candidates")), truth, matches.agg(*sums)]
+              candidates.select("candidates"), truth, matches.agg(*sums)]
     # Five single rows, put into one.
     stacked = totals[0]
     for total in totals[1:]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,7 +11,7 @@ from kinlink.operators.blocking import BLOCKS
 from kinlink.operators.pairing import FinerKeys, pair_rows
 from kinlink.operators.ranking import best_matches
 from kinlink.operators.scoring import (
-    MatchConfig, add_finer_columns, add_row_features, finer_attributes, pair_condition, reachable,
+    BIRTH_YEAR, MatchConfig, add_finer_columns, add_row_features, finer_attributes, pair_condition, reachable,
     score_pairs,
 )
 from kinlink.schema import BIRTH, DOC, MATCH_COLUMNS, NAME, PERSON_COLUMNS, STATUS
@@ -54,6 +55,37 @@ def candidate_pairs(a: DataFrame, b: DataFrame, cfg: MatchConfig = MatchConfig()
     return pairs.select(*_side_columns([]), key.alias("blocking_key"))
 
 
+def candidate_count(a: DataFrame, b: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
+    """One row, `candidates`: how many pairs `candidate_pairs` gives, without pairing any rows.
+
+    Rows are counted per key and the counts multiplied. A pair that shares several blocks counts
+    once: each set of blocks is counted by all its keys, even sets with a minus (inclusion and
+    exclusion). With an age filter the counts are per birth year as well, and the years within
+    reach of one side meet those of the other.
+    """
+    gap, places = cfg.max_age_gap, range(len(cfg.blocks))
+    sets = [s for n in places for s in combinations(places, n + 1)]
+
+    def counted(df: DataFrame, n: str) -> DataFrame:
+        rows = _prepared(df, cfg, thresholded=False)
+        keys = [BLOCKS[block][0](F.col(NAME), F.col(BIRTH), cfg.normalize) for block in cfg.blocks]
+        shared = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("blocks"), F.lit(len(s) % 2 * 2 - 1).alias("sign"),
+                     F.array(*[keys[k] for k in s]).alias("key"))
+            for i, s in enumerate(sets)
+        ])).alias("s")
+        year = F.lit(0) if gap is None else F.col(BIRTH_YEAR).cast("int")
+        by = rows.select(shared, year.alias("year")).select("s.*", "year").where("year IS NOT NULL")
+        return by.groupBy("blocks", "sign", "key", "year").agg(F.count("*").alias(n))
+
+    left, right = counted(a, "n1"), counted(b, "n2").drop("sign")
+    if gap is not None:
+        years = F.sequence(F.col("year") - gap, F.col("year") + gap)
+        left = left.withColumn("year", F.explode(years))
+    pairs = F.sum(F.col("sign") * F.col("n1") * F.col("n2"))
+    return left.join(right, ["blocks", "key", "year"]).agg(F.coalesce(pairs, F.lit(0)).alias("candidates"))
+
+
 def scored_pairs(a: DataFrame, b: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
     """Every candidate pair with all component scores, no threshold."""
     pairs = _paired(a, b, cfg, thresholded=False).select(*_side_columns(["_code"]))

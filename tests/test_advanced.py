@@ -10,7 +10,7 @@ from kinlink.functions import cpf_is_valid
 from kinlink.operators import entities, learning, lsh, quality, stats
 from kinlink.operators.pairing import SkewConfig
 from kinlink.operators.scoring import MatchConfig
-from kinlink.plans.match import candidate_pairs, match, scored_pairs
+from kinlink.plans.match import candidate_count, match, scored_pairs
 from kinlink.plans.serve import read_served
 from kinlink.schema import MATCH_SCHEMA
 from kinlink.sources import generate, sinks
@@ -140,7 +140,7 @@ def test_learning(persons):
 def test_pair_quality(persons):
     a, b = persons
     found = match(a, b, MatchConfig(threshold=0.5))
-    got = {r["threshold"]: r for r in stats.pair_quality(a, b, found, [0.5, 0.9], candidate_pairs(a, b)).collect()}
+    got = {r["threshold"]: r for r in stats.pair_quality(a, b, found, [0.5, 0.9], candidate_count(a, b)).collect()}
     truth = a.join(b, "nr_documento").count()
     assert all(r["tp"] + r["fn"] == truth for r in got.values())
     assert got[0.5]["recall"] >= got[0.9]["recall"] and got[0.9]["precision"] >= got[0.5]["precision"]

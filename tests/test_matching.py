@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kinlink.functions import phonetic_code
 from kinlink.operators.pairing import SkewConfig
 from kinlink.operators.scoring import MatchConfig, Weights, finer_attributes
-from kinlink.plans.match import candidate_pairs, incremental_match, match, merge_increment, scored_pairs
+from kinlink.plans.match import candidate_count, candidate_pairs, incremental_match, match, merge_increment, scored_pairs
 from kinlink.schema import MATCH_COLUMNS
 from tests import reference as R
 from tests.conftest import rows
@@ -134,10 +134,22 @@ def test_bad_dates_do_not_fail(make):
 
 def test_empty_key_block_is_a_candidate_block(make):
     a = make((None, None, "1", "Ativo"), (None, None, "2", "Ativo"))
-    assert candidate_pairs(a, a).count() == 4
+    assert candidate_pairs(a, a).count() == candidate_count(a, a).first()[0] == 4
     assert match(a, a).count() == 0
 
 
+def test_candidates_are_counted_without_pairing(persons, make):
+    for cfg in (MatchConfig(), MatchConfig(max_age_gap=0, blocks=("phonetic",)), MatchConfig(status="Ativo", max_age_gap=2),
+                MatchConfig(blocks=("prefix", "phonetic", "year_prefix"), max_age_gap=1),
+                MatchConfig(blocks=("prefix", "phonetic"))):
+        counted = candidate_count(*persons, cfg)
+        assert [r["candidates"] for r in counted.collect()] == [candidate_pairs(*persons, cfg).count()]
+    assert candidate_count(persons[0], persons[1].limit(0)).first()[0] == 0
+    odd = make((None, "bad", "1", "Ativo"), ("Ana", None, "2", None), ("Ana", None, None, "Ativo"), ("", "", "", ""))
+    for cfg in (MatchConfig(), MatchConfig(max_age_gap=5, blocks=("prefix", "phonetic"))):
+        assert candidate_count(odd, odd, cfg).first()[0] == candidate_pairs(odd, odd, cfg).count()
+
+
 def test_multi_pass_contains_single_passes(persons):
     one = set(rows(match(*persons, MatchConfig(blocks=("prefix",)))))
     two = set(rows(match(*persons, MatchConfig(blocks=("phonetic",)))))

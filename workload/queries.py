@@ -628,7 +628,7 @@ SELECT threshold, tp, fp, truth - tp AS fn, round(tp::DOUBLE / (tp + fp), 9) AS
 def pair_quality(spark, d):
     a, b = both(spark, d)
     found = plan.match(a, b, MatchConfig(threshold=0.5, score_digits=9))
-    return stats.pair_quality(a, b, found, THRESHOLDS, plan.candidate_pairs(a, b))
+    return stats.pair_quality(a, b, found, THRESHOLDS, plan.candidate_count(a, b))
 
 
 @query("learned_weights")
@@ -646,4 +646,4 @@ SELECT 'rows_1' AS measure, count(*) AS n FROM a UNION ALL SELECT 'rows_2', coun
 UNION ALL SELECT 'candidates', count(*) FROM cand UNION ALL SELECT 'matches', count(*) FROM m""")
 def run_report(spark, d):
     a, b = both(spark, d)
-    return stats.run_counts(a, b, plan.candidate_pairs(a, b), plan.match(a, b, ROUNDED))
+    return stats.run_counts(a, b, plan.candidate_count(a, b), plan.match(a, b, ROUNDED))
