@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinlink.functions import cpf_check_digits, register_sql_functions
 from kinlink.operators import blocking, entities, learning, lsh, pairing, quality, search, stats
-from kinlink.operators.ranking import sort_matches
+from kinlink.operators.ranking import sort_matches, top_n
 from kinlink.operators.scoring import MatchConfig
-from kinlink.plans import match as plan, serve
+from kinlink.plans import match as plan, refresh, serve
 from kinlink.schema import MATCH_COLUMNS, MATCH_SCHEMA, PERSON_SCHEMA
 from kinlink.sources import files, generate, sinks, tables
 from kinlink.sources.scratch import scratch_path
@@ -374,6 +374,48 @@ def datasets_changed(spark, d):
     return files.datasets_changed(current, previous)
 
 
+FIRST_RUN, SECOND_RUN = (datetime(2025, 6, day, 12, tzinfo=timezone.utc) for day in (29, 30))
+
+
+def state_of_two_runs(spark: SparkSession, d: str) -> str:
+    """A state folder with two committed runs, and a third whose listing was staged only."""
+    current, previous = snapshots(spark, d)
+    path = scratch_path(spark, "state")
+    for run_id, listing, at in (("r1", previous, FIRST_RUN), ("r2", current, SECOND_RUN)):
+        files.stage_listing(spark, path, listing, run_id)
+        files.commit_state(spark, path, run_id, at)
+    files.stage_listing(spark, path, previous, "r3")
+    return path
+
+
+@query("state_roundtrip", f"""WITH {sql.SNAPSHOTS.strip()}, {sql.fingerprint('cur', 'p').strip()}
+SELECT p.*, '{SECOND_RUN.isoformat()}' AS last_processed, 'r2' AS run_id FROM p""")
+def state_roundtrip(spark, d):
+    """The last committed head of each dataset, as read back."""
+    return files.latest_heads(spark, state_of_two_runs(spark, d))
+
+
+@query("state_files_roundtrip", f"WITH {sql.SNAPSHOTS.strip()}\nSELECT * FROM cur")
+def state_files_roundtrip(spark, d):
+    """The files of the last committed run, as read back."""
+    return files.previous_files(spark, state_of_two_runs(spark, d))
+
+
+@query("refresh_roundtrip", PREFIX_SQL)
+def refresh_roundtrip(spark, d):
+    """Detect, match, commit: a full run over a part of table A, then an increment for the files added to it."""
+    a, b = both(spark, d)
+    base = scratch_path(spark, "refresh")
+    one, two, state, out = (f"{base}/{folder}" for folder in ("side 1", "side 2", "state", "matches"))
+    early = F.coalesce(F.crc32(F.col("nr_documento").cast("binary")) % 2 == 0, F.lit(True))
+    a.where(early).write.parquet(f"{one}/first files")
+    b.write.parquet(f"{two}/all/files")
+    first = refresh.refresh(spark, one, two, state, out, ROUNDED, FIRST_RUN)
+    a.where(~early).write.parquet(f"{one}/later files")
+    last = refresh.refresh_increment(spark, one, two, state, first, out, ROUNDED, SECOND_RUN)
+    return tables.read_matches(spark, last)
+
+
 LISTED = "region nation customer supplier part orders lineitem events".split()
 
 
@@ -647,3 +689,12 @@ UNION ALL SELECT 'candidates', count(*) FROM cand UNION ALL SELECT 'matches', co
 def run_report(spark, d):
     a, b = both(spark, d)
     return stats.run_counts(a, b, plan.candidate_count(a, b), plan.match(a, b, ROUNDED))
+
+
+@query("run_top_matches", PREFIX_SQL + """
+ORDER BY similarity_score DESC, nr_documento_1, nr_documento_2, nome_completo_1 NULLS FIRST, nome_completo_2 NULLS FIRST
+LIMIT 10""")
+def run_top_matches(spark, d):
+    """The ten best matches, as a run's report shows them."""
+    ties = ("nr_documento_1", "nr_documento_2", "nome_completo_1", "nome_completo_2")
+    return top_n(prefix_matches(spark, d), 10, F.desc("similarity_score"), *[F.col(c) for c in ties])
