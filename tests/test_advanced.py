@@ -197,6 +197,17 @@ def test_file_stream_equals_batch_and_replay_adds_nothing(spark, persons, folder
     assert read() == rows(match(a, b))
 
 
+def test_batches_of_a_stream_split_hot_keys(spark, persons, folder):
+    a, b = persons
+    sinks.write_persons(a.repartition(2), f"{folder}/in")
+    assert jobs.read_batches(spark, f"{folder}/out").count() == 0
+    cfg = MatchConfig(strategy="salted", skew=SkewConfig(pair_budget=20, slice_rows=3))
+    for _ in range(2):
+        source = jobs.stream_files(spark, f"{folder}/in", max_files=1)
+        jobs.match_batches(source, b, f"{folder}/out", f"{folder}/cp", cfg)
+        assert rows(jobs.read_batches(spark, f"{folder}/out")) == rows(match(a, b))
+
+
 def test_arrivals_are_served_by_load(spark, persons, folder):
     a, b = persons
     sinks.write_persons(a.repartition(2), f"{folder}/in")

@@ -549,8 +549,8 @@ def staged_persons(spark: SparkSession, d: str, parts: int = 3) -> str:
 @query("file_stream_match", PREFIX_SQL)
 def file_stream_match(spark, d):
     out, new = scratch_path(spark, "stream"), jobs.stream_files(spark, staged_persons(spark, d))
-    jobs.run_available(jobs.match_stream(new, persons_b(spark, d), ROUNDED), f"{out}/data", f"{out}/checkpoint")
-    return spark.read.schema(MATCH_SCHEMA).parquet(f"{out}/data")
+    jobs.match_batches(new, persons_b(spark, d), f"{out}/data", f"{out}/checkpoint", ROUNDED)
+    return jobs.read_batches(spark, f"{out}/data")
 
 
 @query("stream_served_upsert", sql.SERVED + "\nSELECT * FROM served")
