@@ -4,21 +4,19 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kinlink.llm import kernels as K
 
 SPACE = "▁"
 DROPOUT, SEED = 0.1, 0
-#: Segmentations that one run can give a chunk; an occurrence takes one by a hash of (seed, id, place).
-VARIANTS = 4
-CACHED = 600_000
+#: States of chunks that a task keeps, and skips in the past of a state up to which what follows is kept.
+CACHED, KEPT_SKIPS = 600_000, 2
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MASK = (1 << 64) - 1
 
@@ -126,10 +124,20 @@ def encode_chunk(vocabulary: Vocabulary, chunk: str, key: int = 0, dropout: floa
     return out
 
 
-def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
-    """encode_chunk for many chunks at once, as packed int32: each step does, or skips, the best merge of every chunk's agenda."""
+def _skipped(salt: np.ndarray, keys: np.ndarray, limit: np.uint64) -> np.ndarray:
+    """Whether merges, known by the hash of their chunk, place and piece, are skipped under the keys."""
+    h = (salt ^ keys) * K.U(_C4)
+    return (((h ^ (h >> K.U(29))) * K.U(_C5)) >> K.U(32)) < limit
+
+
+def _merged(vocabulary: Vocabulary, chunks: list[str], skips: Callable[[int, np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the chunks, one after the other, and where each chunk's end.
+
+    Each step does, or skips, the best merge of every chunk's agenda; `skips` says which, from the number of the
+    step, the chunks that have a merge left and the hashes of their merges.
+    """
     characters, pairs, pair_rank, rank_piece = vocabulary.arrays
-    limit, none = K.U(int(dropout * (1 << 32))), np.int64(1) << 62
+    none = np.int64(1) << 62
     points = _code_points("".join(chunks))
     size = np.fromiter(map(len, chunks), np.int64, len(chunks))
     end = np.cumsum(size)
@@ -153,7 +161,7 @@ def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, d
         return out
 
     agenda = np.append(agenda_of(np.arange(n), after), none)
-    gone, active = np.zeros(n, bool), np.arange(len(chunks))
+    gone, active, step = np.zeros(n, bool), np.arange(len(chunks)), 0
     while len(active):
         edges = np.empty(2 * len(active), np.int64)
         edges[0::2], edges[1::2] = start[active], end[active]
@@ -161,11 +169,9 @@ def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, d
         left_over = best < none
         active, best = active[left_over], best[left_over]
         left, piece = best & 0xFFFFFFFF, rank_piece[best >> 32]
-        if limit:
-            h = ((hashes[active] + (left - start[active]).astype(K.U) * K.U(_C2) + piece.astype(K.U) * K.U(_C3)) ^ keys[active]) * K.U(_C4)
-            skip = (((h ^ (h >> K.U(29))) * K.U(_C5)) >> K.U(32)) < limit
-            agenda[left[skip]] = none
-            left, piece = left[~skip], piece[~skip]
+        skip = skips(step, active, hashes[active] + (left - start[active]).astype(K.U) * K.U(_C2) + piece.astype(K.U) * K.U(_C3))
+        agenda[left[skip]] = none
+        left, piece = left[~skip], piece[~skip]
         right = after[left]
         ids[left], gone[right], agenda[right] = piece, True, none
         following, previous = after[right], before[left]
@@ -173,6 +179,7 @@ def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, d
         before[following[following >= 0]] = left[following >= 0]
         agenda[left] = agenda_of(left, following)
         agenda[previous[previous >= 0]] = agenda_of(previous, left)[previous >= 0]
+        step += 1
     width = (~gone).astype(np.int64)
     unknown = np.flatnonzero(~gone & (ids < 0))
     as_bytes = [chr(p).encode("utf-8", "surrogatepass") for p in points[unknown].tolist()]
@@ -181,56 +188,167 @@ def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, d
     out = np.repeat(ids, width).astype(np.int32)
     for at, own in zip(cuts[unknown].tolist(), as_bytes):
         out[at:at + len(own)] = [vocabulary.bytes[b] for b in own]
-    packed = out.tobytes()
-    return [packed[a:b] for a, b in zip((4 * cuts[start]).tolist(), (4 * cuts[end]).tolist())]
+    return out, cuts[end]
+
+
+def encode_chunks(vocabulary: Vocabulary, chunks: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
+    """encode_chunk for many chunks at once, as packed int32."""
+    limit = K.U(int(dropout * (1 << 32)))
+    ids, ends = _merged(vocabulary, chunks, lambda _, active, salt: _skipped(salt, keys[active], limit))
+    packed, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+    return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+class _Rows:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.n = np.zeros(1024, kind), 0
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[:self.n]
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            self.held = np.concatenate([self.all, np.zeros(self.n + 2 * len(more), self.held.dtype)])
+        self.held[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+
+def _places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... size[0] of them, then those of first[1], and so on."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+class States:
+    """What is left to do for a chunk once certain of its merges were skipped, for any occurrence of it.
+
+    A state is a chunk and the steps that it skipped. It has the merges that come up from there on if none of them
+    is skipped, the ids that this gives, and for each of these merges the state that skipping it leads to, or -1.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.first, self.chunks = vocabulary, {}, []
+        self.chunk, self.skips, self.depth = _Rows(np.int64), _Rows(np.uint64), _Rows(np.int64)
+        self.merges, self.n_merges, self.ids_at, self.n_ids = (_Rows(np.int64) for _ in range(4))
+        self.salt, self.step, self.following, self.ids = _Rows(np.uint64), _Rows(np.int64), _Rows(np.int64), _Rows(np.int32)
+
+    def add(self, chunk: np.ndarray, skips: np.ndarray, depth: int) -> np.ndarray:
+        """Numbers of new states of the chunks with these numbers; bit t of `skips` is set if step t was skipped."""
+        seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def told(t: int, active: np.ndarray, salt: np.ndarray) -> np.ndarray:
+            left = skips[active] >> K.U(t)
+            open_ = left == 0
+            seen.append((active[open_], np.full(int(open_.sum()), t), salt[open_]))
+            return (left & K.U(1)) == 1
+
+        ids, ends = _merged(self.vocabulary, [self.chunks[c] for c in chunk.tolist()], told)
+        own, step, salt = (np.concatenate(x) for x in zip(*seen))
+        order = np.argsort(own, kind="stable")
+        n = np.bincount(own, minlength=len(chunk))
+        new = self.chunk.n + np.arange(len(chunk))
+        starts = np.concatenate([[0], ends])
+        for rows, more in ((self.merges, self.salt.n + np.cumsum(n) - n), (self.n_merges, n), (self.ids_at, self.ids.n + starts[:-1]),
+                           (self.n_ids, np.diff(starts)), (self.chunk, chunk), (self.skips, skips), (self.depth, np.full(len(chunk), depth)),
+                           (self.salt, salt[order]), (self.step, step[order]), (self.following, np.full(len(own), -1)), (self.ids, ids)):
+            rows.add(more)
+        return new
+
+    def beginnings(self, chunks: list[str]) -> None:
+        numbers = np.arange(len(self.chunks), len(self.chunks) + len(chunks))
+        self.chunks += chunks
+        self.first.update(zip(chunks, self.add(numbers, np.zeros(len(chunks), K.U), 0).tolist()))
+
+    def after_skip(self, state: np.ndarray, merge: np.ndarray) -> np.ndarray:
+        """The states that skipping a merge leads to."""
+        missing, at = np.unique(merge[self.following.all[merge] < 0], return_index=True)
+        if len(missing):
+            own = state[self.following.all[merge] < 0][at]
+            skips = self.skips.all[own] | (K.U(1) << self.step.all[missing].astype(K.U))
+            new = self.add(self.chunk.all[own], skips, int(self.depth.all[own[0]]) + 1)
+            self.following.all[missing] = new
+        return self.following.all[merge]
+
+
+def occurrence_keys(seed: int, doc_ids: list[int | None], copies: list[int], chunks: np.ndarray) -> np.ndarray:
+    """A key for each chunk of each document, from the seed, the document's id and copy, and the chunk's place in it."""
+    null = np.array([d is None for d in doc_ids], bool)
+    ids = np.array([d or 0 for d in doc_ids], np.int64).view(K.U)
+    own = K.mix(np.full(len(doc_ids), K.U(seed & _MASK)) + K.U(_C1))
+    for part in (null.astype(K.U), ids, np.array(copies, np.int64).view(K.U)):
+        own = K.mix(own * K.U(_C1) + part + K.U(_C2))
+    return K.mix(np.repeat(own, chunks) + _places(np.zeros(len(chunks), np.int64), chunks).astype(K.U) * K.U(_C1))
 
 
 class Encoder:
-    """Encodes texts. A chunk's segmentation depends on its text and variant alone, so chunks seen lately are kept."""
+    """Encodes texts. Each occurrence of a chunk draws its own skips; what chunks come to after skips is kept."""
 
     CHUNKS = re.compile(r" *[^ \n]+|\n| +")
     #: Chunks of more characters are merged one by one.
     LONG = 200
+    #: Chunks of at most so many characters have states: they propose three merges a character at most, one bit each.
+    SHORT = 21
 
     def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
         self.vocabulary, self.dropout, self.seed = vocabulary, dropout, seed
-        self.keys = [int(K.mix(np.array([seed * 1000 + v + 1], K.U))[0]) for v in range(VARIANTS if dropout else 1)]
-        self.known: list[dict[str, bytes]] = [{} for _ in self.keys]
-        self.kept = 0
-
-    def _learn(self, missing: dict[tuple[str, int], None]) -> dict[tuple[str, int], bytes]:
-        short = [x for x in missing if len(x[0]) <= self.LONG]
-        keys = np.array([self.keys[v] for _, v in short], K.U)
-        new = dict(zip(short, encode_chunks(self.vocabulary, [c for c, _ in short], keys, self.dropout))) if short else {}
-        if self.kept + len(new) > CACHED:
-            self.kept = 0
-            for held in self.known:
-                held.clear()
-        for (chunk, v), own in new.items():
-            self.known[v][chunk] = own
-        self.kept += len(new)
-        for chunk, v in missing:
-            if len(chunk) > self.LONG:
-                new[chunk, v] = np.array(encode_chunk(self.vocabulary, chunk, self.keys[v], self.dropout), np.int32).tobytes()
-        return new
-
-    def encode(self, texts: list[str], doc_ids: list[int | None]) -> list[np.ndarray]:
+        self.limit = K.U(int(dropout * (1 << 32)))
+        self.states = States(vocabulary)
+
+    def _drawn(self, state: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The last state of each occurrence, from its first; -1 if more merges are skipped than states are kept for."""
+        states, last, at = self.states, state.copy(), np.arange(len(state))
+        for depth in range(KEPT_SKIPS + 1):
+            own = last[at]
+            n = states.n_merges.all[own]
+            merge = _places(states.merges.all[own], n)
+            hit = np.flatnonzero(_skipped(states.salt.all[merge], np.repeat(keys[at], n), self.limit))
+            which = np.searchsorted(np.cumsum(n), hit, "right")
+            new = np.ones(len(which), bool)
+            new[1:] = which[1:] != which[:-1]  # the first skip of each
+            at, own, merge = at[which[new]], own[which[new]], merge[hit[new]]
+            if not len(at):
+                break
+            last[at] = states.after_skip(own, merge) if depth < KEPT_SKIPS else -1
+        return last
+
+    def encode(self, texts: list[str], doc_ids: list[int | None], copies: list[int] | None = None) -> list[np.ndarray]:
         """Ids of each text after a space, as SentencePiece adds one; an empty text has none."""
-        found, missing = [], {}
-        for text, doc_id in zip(texts, doc_ids):
-            chunks = self.CHUNKS.findall(" " + text) if text else []
-            start = zlib.crc32(f"{self.seed}:{doc_id}".encode())
-            variant = (K.mix(np.arange(len(chunks), dtype=K.U) + K.U(start << 20)) % K.U(len(self.known))).tolist()
-            known, out = self.known, []
-            for chunk, v in zip(chunks, variant):
-                own = known[v].get(chunk)
-                if own is None:
-                    own = (chunk, v)
-                    missing[own] = None
-                out.append(own)
-            found.append(out)
-        new = self._learn(missing) if missing else {}
-        return [np.frombuffer(b"".join([x if type(x) is bytes else new[x] for x in out]), np.int32) for out in found]
+        if self.states.chunk.n > CACHED:
+            self.states = States(self.vocabulary)
+        cut = [self.CHUNKS.findall(" " + text) if text else [] for text in texts]
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        chunks = [c for own in cut for c in own]
+        if not chunks:
+            return [np.zeros(0, np.int32) for _ in texts]
+        keys = occurrence_keys(self.seed, doc_ids, copies or [0] * len(texts), n)
+        known = self.states.first
+        missing = [c for c in dict.fromkeys(chunks) if c not in known and len(c) <= self.SHORT]
+        if missing:
+            self.states.beginnings(missing)
+        state = np.fromiter((known.get(c, -1) for c in chunks), np.int64, len(chunks))
+        kept = np.flatnonzero(state >= 0)
+        if self.limit and len(kept):
+            state[kept] = self._drawn(state[kept], keys[kept])
+        apart = np.flatnonzero(state < 0)
+        short = [i for i in apart.tolist() if len(chunks[i]) <= self.LONG]
+        own_ids = dict(zip(short, encode_chunks(self.vocabulary, [chunks[i] for i in short], keys[short], self.dropout))) if short else {}
+        for i in apart.tolist():
+            if i not in own_ids:
+                own_ids[i] = np.array(encode_chunk(self.vocabulary, chunks[i], int(keys[i]), self.dropout), np.int32).tobytes()
+        more = [np.frombuffer(own_ids[i], np.int32) for i in apart.tolist()]
+        size, first = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        held = state >= 0
+        size[held], first[held] = self.states.n_ids.all[state[held]], self.states.ids_at.all[state[held]]
+        size[apart] = [len(x) for x in more]
+        out = np.empty(int(size.sum()), np.int32)
+        place = np.cumsum(size) - size
+        out[_places(place[held], size[held])] = self.states.ids.all[_places(first[held], size[held])]
+        for i, x in zip(place[apart].tolist(), more):
+            out[i:i + len(x)] = x
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])].tolist()
+        return [out[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def decode_ids(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
@@ -251,25 +369,26 @@ def _encoded(doc_ids: pa.Array, ids: list[np.ndarray], **more: pa.Array) -> pa.R
         ["doc_id", "n_tokens", "ids", *more])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, copy: str = "0") -> DataFrame:
     """(doc_id, n_tokens, ids) for each row of docs.
 
     Texts are cut before runs of spaces and around line feeds, where no piece of the model crosses. Each chunk is
     merged from characters by an agenda ordered by score, then place; each merge that comes up is skipped with
-    probability `dropout` by a hash keyed by the seed, the chunk's variant, its text, the place and the piece.
+    probability `dropout` by a hash keyed by the seed, the doc_id, the number that the expression `copy` gives, the
+    chunk's place in the text, its text, the merge's place in it and the piece: every occurrence draws its own.
     Characters outside the vocabulary, and U+2581 itself, become byte pieces, so `decode` gives the text back for
-    any seed. Null and empty texts have no ids. A null doc_id stays null and is hashed as None; repeated rows get
-    the same ids; other columns are not read; an empty table gives no rows.
+    any seed. Null and empty texts have no ids. A null doc_id stays null and has a key of its own; repeated rows get
+    the same ids unless `copy` tells them apart; other columns are not read; an empty table gives no rows.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, dropout, seed)
         for batch in batches:
-            own_ids = batch.column(0).to_pylist()
+            own_ids, copies = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for seg in K.segments(batch.column(1)):
-                ids = encoder.encode([seg.text(i) for i in range(seg.rows)], own_ids[seg.first:seg.last])
+                ids = encoder.encode([seg.text(i) for i in range(seg.rows)], own_ids[seg.first:seg.last], copies[seg.first:seg.last])
                 yield _encoded(batch.column(0).slice(seg.first, seg.rows), ids)
 
-    return docs.selectExpr("cast(doc_id AS bigint) doc_id", "text").mapInArrow(task, "doc_id bigint, n_tokens bigint, ids array<int>")
+    return docs.selectExpr("cast(doc_id AS bigint) doc_id", "text", f"cast({copy} AS bigint) copy").mapInArrow(task, "doc_id bigint, n_tokens bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -284,6 +403,12 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(task, "doc_id bigint, n_tokens bigint, ids array<int>, text string")
 
 
+def numbered_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, copy): rows of one id and text are numbered from 0, so that `encode` can tell them apart."""
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return docs.selectExpr("cast(doc_id AS bigint) doc_id", "text").withColumn("copy", F.row_number().over(same) - 1)
+
+
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """(doc_id, n_tokens, ids, lossless): encodes as `encode` does, decodes, and compares with the text."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -114,6 +114,36 @@ def test_dropout_is_seeded_varied_and_lossless(spark, docs, awkward, nothing):
     assert sp.encode(nothing, vocabulary).count() == 0
 
 
+def test_each_occurrence_draws_its_own_skips(spark, docs):
+    vocabulary = sp.Vocabulary.load(sp.MODEL)
+    texts = [r.text for r in docs.where("n_chars < 3000").limit(60).collect()] + ["x" * 300 + " y " + "ab" * 40, ""]
+    for dropout in (0.1, 0.6):
+        encoder = sp.Encoder(vocabulary, dropout, 7)
+        for ids in (list(range(len(texts))), [None] * len(texts)):
+            copies = [i % 3 for i in range(len(texts))]
+            for text, own, i, c in zip(texts, encoder.encode(texts, ids, copies), ids, copies):
+                chunks = sp.Encoder.CHUNKS.findall(" " + text) if text else []
+                keys = sp.occurrence_keys(7, [i], [c], np.array([len(chunks)])).tolist()
+                assert own.tolist() == [x for chunk, key in zip(chunks, keys) for x in sp.encode_chunk(vocabulary, chunk, key, dropout)]
+    whole = [w for w in (" t", " a", " of", " understanding") if len(sp.encode_chunk(vocabulary, w)) == 1]
+    for word in whole:
+        one = [sp.Encoder(vocabulary, 0.1, 0).encode([word[1:] + word * 19_999], [d])[0] for d in (1, 2)]
+        chunk = [sp.encode_chunk(vocabulary, word, k, 0.1) for k in sp.occurrence_keys(0, [1], [0], np.array([20_000])).tolist()]
+        if len(word) == 2:  # one merge
+            assert abs(sum(len(x) > 1 for x in chunk) / 20_000 - 0.1) < 0.01
+        elif len(word) > 5:
+            assert len({tuple(x) for x in chunk}) > 10
+        assert [x for c in chunk for x in c] == one[0].tolist() != one[1].tolist()
+
+
+def test_copies_from_mixing_are_encoded_differently(spark, docs):
+    twice = docs.where("n_chars > 500").limit(5)
+    rows = corpus_pipeline.encode_stage(spark, twice.union(twice), SF).collect()
+    assert len(rows) == 10 and len({tuple(r.ids) for r in rows}) == 10
+    again = corpus_pipeline.encode_stage(spark, twice.union(twice), SF).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
 def plain_rules(text):
     words = WORD.findall(text or "")
     windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
