@@ -132,6 +132,14 @@ def test_lines_in_large_groups(spark, monkeypatch):
     assert sum(got.get(i, i) != c for i, c in want.items()) <= 1
 
 
+def test_short_lines_take_part(spark):
+    rows = [(1, "Share\n}\nHome | About us\n \t"), (2, "}\nHome | About us\nShare\n"), (3, "Share \nown words\n\t \n日本"), (4, "日本\nHome > About us")]
+    got = {(r.doc_id, r.line_no): (r.keeper_doc_id, r.keeper_line_no, r.kept) for r in line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    first = {(1, 0), (1, 1), (1, 2), (3, 3)}
+    copy = {(2, 2): (1, 0), (2, 0): (1, 1), (2, 1): (1, 2), (4, 0): (3, 3)}
+    assert got == {place: (*copy.get(place, place), place in first) for place in (*first, *copy)}
+
+
 def test_lines_awkward(awkward, nothing):
     kept = line_dedup.dedup_lines(awkward)
     rows = {r.doc_id: r.text for r in kept.collect()}
