@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinlink.llm import chunking, crf, line_dedup, line_labels, mixing, ngram_join, pii, quality, sentencepiece_dropout, topk, toxicity
+from kinlink.llm import (
+    chunking, conversations, crf, line_dedup, line_labels, mixing, ngram_join, periodic, pii, quality, sentencepiece_dropout, topk, toxicity,
+    warc)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,11 +69,37 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.repeated_spans(_read(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back."""
+    records = warc.page_records(_read(spark, sf_dir, "pages"))
+    return warc.page_digest(warc.read_archives(warc.write_archives(records)))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired at least cost."""
+    return conversations.repair_summary(conversations.with_damage(_read(spark, sf_dir, "conversations")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, one in ten with a planted period."""
+    return periodic.digest(periodic.word_runs(periodic.with_planted_period(_read(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_pii, op3_sentencepiece, op4_quality_rules, op5_mixing, op6_toxicity, op7_ngram_join, op8_quality_classifier,
-    op9_top_k, op10_substring_dedup)}
+    op9_top_k, op10_substring_dedup, op11_warc, op12_conversation_repair, op13_periodic_runs)}
 
 ORACLE = {
+    "op11_warc": f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages
+), ranked AS (
+  SELECT *, octet_length(encode(payload)) AS n, row_number() OVER own AS r, first_value(page_id) OVER own AS first_id
+  FROM payloads WINDOW own AS (PARTITION BY payload ORDER BY page_id NULLS LAST)
+)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+  CASE WHEN n >= {warc.MIN_SHARED} AND r > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= {warc.MIN_SHARED} AND r > 1 THEN first_id END AS refers_to
+FROM ranked""",
     "op9_top_k": """
 WITH scaled AS (
   SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v FROM embeddings
