@@ -2,9 +2,10 @@
 
 A conversation is in order if its roles are an optional system turn and then pairs of user and assistant, or if it is
 empty. Items of the deduction are [i, state]: the first i turns are dealt with and what they gave so far ends in
-state. Each edit is a rule with a weight (cost, letter); an item's value is the pair (cost, audit), costs added and
-letters joined. Values only grow along a rule, and rules keep their order, so items are final in the order in which
-the agenda gives them out.
+state. An item and a way to read turn i make an item of i + 1, an edge of a weighted hypergraph; an insertion makes one
+of i. An item's value is the pair (cost, audit), costs added and letters joined. Values only grow along an edge, and
+edges keep their order, so items are final in the order in which the agenda gives them out. (Two audits of one item and
+one cost are never a beginning of each other: what is left of the longer would be insertions, which cost.)
 """
 
 from __future__ import annotations
@@ -35,40 +36,61 @@ PIECE = 512
 SLACK = 2 * INSERT
 
 
+def readings(initial: str, fault: int) -> list[tuple[int, str, str | None]]:
+    """(cost, letter, initial) of each way to take a turn; the initial is None where the state decides it or nothing is left."""
+    out = [(DELETE, "D", None)]
+    if fault in (NO_FAULT, TRUNCATED):
+        extra = UNMENDED if fault == TRUNCATED else 0
+        out += [(KEEP + extra, "K", initial), (REROLE + extra, "R", None)]
+    return out
+
+
 def lightest(turns: list[tuple[str, int]], start: dict[int, tuple[int, str]], last: bool) -> dict[int, tuple[int, str]]:
     """{state: (cost, audit)} after the turns (initial, fault), from the items in start; the goal alone if they are the last.
 
-    Items that cost more than the lightest by over SLACK cannot be part of a lightest derivation and are left out.
+    A deduction that takes a turn has two premises, the item [i, state] and a reading of turn i; it fires once the agenda
+    has given out both. A reading's value is (cost, ""), so that the conclusion (cost + cost, audit + letter) is never
+    below a premise. An insertion has the item as its one premise.
+
+    Items that cost more than the lightest end by over SLACK cannot be part of a lightest derivation and are left out.
     """
-    agenda = [(cost, audit, 0, state) for state, (cost, audit) in start.items()]
+    n = len(turns)
+    agenda = [(cost, audit, 0, True, state, None) for state, (cost, audit) in start.items()]
+    agenda += [(cost, "", i, False, letter, to) for i, turn in enumerate(turns) for cost, letter, to in readings(*turn)]
     heapq.heapify(agenda)
-    final, n, ends, limit = set(), len(turns), {}, None
+    items, read = [{} for _ in range(n + 1)], [[] for _ in range(n + 1)]     # final items and readings of each turn
+    ends, limit = items[n], None
+
+    def fire(i: int, state: int, reading: tuple) -> None:
+        (cost, audit), (more, letter, initial) = items[i][state], reading
+        after = state if letter == "D" else TURN[state][0] if letter == "R" else NEXT[state].get(initial)
+        if after is not None and after not in items[i + 1]:
+            heapq.heappush(agenda, (cost + more, audit + letter, i + 1, True, after, None))
+
     while agenda:
-        cost, audit, i, state = heapq.heappop(agenda)
-        if (i, state) in final:
-            continue
+        cost, audit, i, is_item, what, to = heapq.heappop(agenda)
         if limit is not None and cost > limit:
             break
-        final.add((i, state))
+        if not is_item:
+            read[i].append((cost, what, to))
+            for state in list(items[i]):
+                fire(i, state, read[i][-1])
+            continue
+        if what in items[i]:
+            continue
+        items[i][what] = (cost, audit)
         if i == n:
+            if last and what in GOAL:
+                return {what: (cost, audit)}
             if not last:
-                ends[state] = (cost, audit)
                 limit = cost + SLACK if limit is None else limit
                 if len(ends) == len(NEXT):
                     break
                 continue
-            if state in GOAL:
-                return {state: (cost, audit)}
-        else:
-            initial, fault = turns[i]
-            heapq.heappush(agenda, (cost + DELETE, audit + "D", i + 1, state))
-            if fault in (NO_FAULT, TRUNCATED):
-                extra = UNMENDED if fault == TRUNCATED else 0
-                after = NEXT[state].get(initial)
-                if after is not None:
-                    heapq.heappush(agenda, (cost + KEEP + extra, audit + "K", i + 1, after))
-                heapq.heappush(agenda, (cost + REROLE + extra, audit + "R", i + 1, TURN[state][0]))
-        heapq.heappush(agenda, (cost + INSERT, audit + "I", i, TURN[state][0]))
+        for reading in read[i]:
+            fire(i, what, reading)
+        if TURN[what][0] not in items[i]:
+            heapq.heappush(agenda, (cost + INSERT, audit + "I", i, True, TURN[what][0], None))
     return ends
 
 
