@@ -7,7 +7,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinlink.functions import cpf_check_digits, register_sql_functions
-from kinlink.operators import blocking, entities, learning, lsh, pairing, quality, search, stats
+from kinlink.operators import blocking, entities, learning, lsh, metric, pairing, quality, search, stats
 from kinlink.operators.ranking import sort_matches, top_n
 from kinlink.operators.scoring import MatchConfig
 from kinlink.plans import match as plan, refresh, serve
@@ -602,9 +602,12 @@ def lsh_candidates(spark, d):
     return lsh.lsh_candidate_pairs(*both(spark, d), LSH).withColumn("distance", F.round("distance", 9))
 
 
-@query("embedding_matches")
+@query("embedding_matches", """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings)
+SELECT a.vec_id AS id_1, b.vec_id AS id_2, round(list_distance(a.x, b.x), 9) AS distance
+FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_distance(a.x, b.x) <= 1.1::DOUBLE""")
 def embedding_matches(spark, d):
-    return lsh.embedding_matches(read(spark, d, "embeddings"), max_distance=1.1, bucket_length=0.5)
+    return metric.vectors_within(read(spark, d, "embeddings"), 1.1).withColumn("distance", F.round("distance", 9))
 
 
 EDGES = sql.base(sql.matches(sql.BY_PREFIX), """
