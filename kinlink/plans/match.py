@@ -1,4 +1,4 @@
-"""The match pipeline: block, pair, score, threshold. Lazy, no action inside."""
+"""The match pipeline: block, pair, score, threshold. Where no side fits a broadcast, hot keys are counted first."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
+from kinlink.functions.people import phonetic_code
 from kinlink.operators.blocking import BLOCKS
 from kinlink.operators.pairing import FinerKeys, pair_rows
 from kinlink.operators.ranking import best_matches
@@ -92,6 +93,12 @@ def scored_pairs(a: DataFrame, b: DataFrame, cfg: MatchConfig = MatchConfig()) -
     return score_pairs(pairs, cfg).drop("_code_1", "_code_2")
 
 
+def score(pairs: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
+    """Pairs from elsewhere, in `_1`/`_2` columns, as `scored_pairs` gives them."""
+    coded = pairs.withColumns({f"_code_{n}": phonetic_code(F.col(f"{NAME}_{n}")) for n in (1, 2)})
+    return score_pairs(coded.select(*[f"{c}_{n}" for n in (1, 2) for c in (DOC, NAME, BIRTH, STATUS, "_code")]), cfg).drop("_code_1", "_code_2")
+
+
 def match(a: DataFrame, b: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
     """Pairs of persons scoring at least the threshold, with the 12 match columns."""
     pairs = _paired(a, b, cfg, thresholded=True).select(*_side_columns(["_code"]))

@@ -10,7 +10,7 @@ from kinlink.functions import cpf_is_valid
 from kinlink.operators import entities, learning, lsh, quality, stats
 from kinlink.operators.pairing import SkewConfig
 from kinlink.operators.scoring import MatchConfig
-from kinlink.plans.match import candidate_count, match, scored_pairs
+from kinlink.plans.match import candidate_count, match, score, scored_pairs
 from kinlink.plans.serve import read_served
 from kinlink.schema import MATCH_SCHEMA
 from kinlink.sources import generate, sinks
@@ -128,7 +128,7 @@ def test_fellegi_sunter_fits_a_planted_mixture():
 
 
 def test_learning(persons):
-    scored = scored_pairs(*persons, MatchConfig(blocks=("year_prefix",)))
+    scored = scored_pairs(*persons, MatchConfig(blocks=("year_prefix",))).unionByName(score(learning.random_pairs(*persons)))
     weights = {r["feature"]: r["weight"] for r in learning.learned_weights(scored).collect()}
     assert sum(weights.values()) == pytest.approx(1.0) and weights["date_score"] > 0
     fitted = {(r["field"], r["level"]): r for r in learning.fellegi_sunter(scored).collect()}

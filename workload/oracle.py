@@ -269,3 +269,22 @@ noise3 AS (SELECT *,
     FROM noise2)
 {out('A', plain, 'birth', 'pa')} UNION ALL {out('A', plain, 'birth', 'ps')}
 UNION ALL {out('B', plain, 'birth', 'pb')} UNION ALL {out('B', 'vname', 'vbirth', 'noise3')}"""
+
+
+def linked(model, cuts) -> str:
+    """Match weight, probability and decision over `scored`, by given odds."""
+    level = {
+        "name": "CASE WHEN name_jaro_score >= 0.92::DOUBLE THEN 2 WHEN name_jaro_score >= 0.8::DOUBLE THEN 1 ELSE 0 END",
+        "soundex": "CAST(name_soundex_score AS INTEGER)",
+        "date": "CASE WHEN date_score >= 1 THEN 3 WHEN date_score >= 0.8::DOUBLE THEN 2 WHEN date_score >= 0.5::DOUBLE THEN 1 ELSE 0 END",
+        "document": "CAST(doc_match AS INTEGER)",
+    }
+    part = lambda f: f"list_extract([{', '.join(f'log2({x}::DOUBLE / {y}::DOUBLE)' for x, y in zip(model.m[f], model.u[f]))}], 1 + {level[f]})"
+    return f""",
+names AS (SELECT lower(nome_completo) AS name, count(*) AS records FROM (SELECT * FROM a UNION ALL SELECT * FROM b) WHERE length(nome_completo) > 0 GROUP BY 1),
+shares AS (SELECT name, records / (SELECT sum(records) FROM names)::DOUBLE AS share FROM names),
+w AS (SELECT nr_documento_1, nr_documento_2, round({' + '.join(part(f) for f in level)}
+    + CASE WHEN lower(nome_completo_1) = lower(nome_completo_2) THEN log2({model.u['name'][2]}::DOUBLE / share) ELSE 0 END, 9) AS match_weight
+    FROM scored LEFT JOIN shares ON lower(nome_completo_1) = shares.name)
+SELECT *, round(1 / (1 + {(1 - model.share) / model.share}::DOUBLE * pow(2::DOUBLE, -match_weight)), 9) AS probability,
+    CASE WHEN match_weight >= {cuts.link}::DOUBLE THEN 'link' WHEN match_weight <= {cuts.non_link}::DOUBLE THEN 'non_link' ELSE 'review' END AS decision FROM w"""

@@ -7,7 +7,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinlink.functions import cpf_check_digits, register_sql_functions
-from kinlink.operators import blocking, entities, learning, lsh, metric, pairing, quality, search, stats
+from kinlink.operators import blocking, entities, learning, linkage, lsh, metric, pairing, quality, search, stats
 from kinlink.operators.ranking import sort_matches, top_n
 from kinlink.operators.scoring import MatchConfig
 from kinlink.plans import match as plan, refresh, serve
@@ -678,7 +678,9 @@ def pair_quality(spark, d):
 
 @query("learned_weights")
 def learned_weights(spark, d):
-    return learning.learned_weights(plan.scored_pairs(*both(spark, d)))
+    """From the pairs of the blocks and random ones."""
+    a, b = both(spark, d)
+    return learning.learned_weights(plan.scored_pairs(a, b).unionByName(plan.score(learning.random_pairs(a, b))))
 
 
 @query("fellegi_sunter")
@@ -686,6 +688,20 @@ def fellegi_sunter(spark, d):
     return learning.fellegi_sunter(plan.scored_pairs(*both(spark, d)))
 
 
+LINKAGE = linkage.LinkageModel(
+    0.2, {"name": (0.02, 0.08, 0.9), "soundex": (0.1, 0.9), "date": (0.01, 0.04, 0.15, 0.8), "document": (0.2, 0.8)},
+    {"name": (0.6, 0.3, 0.1), "soundex": (0.4, 0.6), "date": (0.3, 0.4, 0.2, 0.1), "document": (0.999, 0.001)})
+CUTS = linkage.cut_offs(LINKAGE, 0.001, 0.05)
+
+
+@query("linked_pairs", sql.base(sql.scored(sql.BY_PREFIX)) + sql.linked(LINKAGE, CUTS))
+def linked_pairs(spark, d):
+    """Candidate pairs with match weight by rarity of the name, probability and decision, by a given model."""
+    a, b = both(spark, d)
+    weighed = linkage.weigh_pairs(plan.scored_pairs(a, b, ROUNDED), LINKAGE, CUTS, linkage.name_frequencies(a, b))
+    return weighed.select("nr_documento_1", "nr_documento_2", "match_weight", F.round("probability", 9).alias("probability"), "decision")
+
+
 @query("run_report", sql.base(sql.matches(sql.BY_PREFIX)) + """
 SELECT 'rows_1' AS measure, count(*) AS n FROM a UNION ALL SELECT 'rows_2', count(*) FROM b
 UNION ALL SELECT 'candidates', count(*) FROM cand UNION ALL SELECT 'matches', count(*) FROM m""")
