@@ -129,6 +129,21 @@ def phrase(x: str, text: str) -> str:
     return f"contains(' ' || array_to_string({tokens(x)}, ' ') || ' ', ' {text} ')"
 
 
+_NAMES = """,
+names AS (SELECT match_id, similarity_score, ' ' || array_to_string(%s, ' ') || ' ' AS words FROM served
+    UNION ALL SELECT match_id, similarity_score, ' ' || array_to_string(%s, ' ') || ' ' FROM served)""" % (tokens("nome_completo_1"), tokens("nome_completo_2"))
+
+#: Words of the names of table B, words of the served names, and which of the first are near which of the second.
+INDEXED_WORDS = _NAMES + """,
+places AS (SELECT DISTINCT match_id, similarity_score, unnest(string_split(trim(words), ' ')) AS token FROM names),
+asked AS (SELECT DISTINCT nr_documento AS query_id, unnest(%s) AS word FROM b),
+near AS (SELECT word, token FROM (SELECT DISTINCT word FROM asked), (SELECT DISTINCT token FROM places)
+    WHERE damerau_levenshtein(token, word) <= CASE WHEN length(word) <= 2 THEN 0 WHEN length(word) <= 5 THEN 1 ELSE 2 END)""" % tokens("nome_completo")
+
+INDEXED_PHRASES = _NAMES + r""",
+asked AS (SELECT nr_documento AS query_id, ' ' || lower(regexp_extract(nome_completo, '(\w+ \w+)$', 1)) || ' ' AS phrase FROM b
+    WHERE regexp_matches(nome_completo, '\w+ \w+$'))"""
+
 # --- file snapshots derived from orders -------------------------------------------------------
 
 SNAPSHOTS = """

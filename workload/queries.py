@@ -10,7 +10,7 @@ from kinlink.functions import cpf_check_digits, register_sql_functions
 from kinlink.operators import blocking, entities, learning, linkage, lsh, metric, pairing, quality, search, stats
 from kinlink.operators.ranking import sort_matches, top_n
 from kinlink.operators.scoring import MatchConfig
-from kinlink.plans import match as plan, refresh, serve
+from kinlink.plans import match as plan, name_index, refresh, serve, store
 from kinlink.schema import MATCH_COLUMNS, MATCH_SCHEMA, PERSON_SCHEMA
 from kinlink.sources import files, generate, sinks, tables
 from kinlink.sources.scratch import scratch_path
@@ -292,6 +292,76 @@ def search_name_phrase(spark, d):
     return search.search_by_name(served(spark, d), "Drumelo Hortelano", fuzzy=False)
 
 
+def stored(spark: SparkSession, d: str, buckets: int = 8) -> store.Store:
+    """A store of two loads: some matches under other scores and names first, then all as they are."""
+    place = store.Store(scratch_path(spark, "store"), buckets)
+    docs = serve.served_documents(prefix_matches(spark, d), AS_OF)
+    some = F.crc32(F.col("match_id").cast("binary")) % 2 == 0
+    store.add_load(spark, place, docs.where(some).withColumns({"similarity_score": F.lit(1.0), "nome_completo_1": F.lit("Belmina Old")}), 1)
+    store.add_load(spark, place, docs, 2)
+    return place
+
+
+def indexed(spark: SparkSession, d: str) -> tuple[store.Store, name_index.NameIndex]:
+    place = stored(spark, d)
+    index = name_index.NameIndex(scratch_path(spark, "names"), 16)
+    name_index.build_name_index(store.read_store(spark, place), index)
+    return place, index
+
+
+@query("store_two_loads", sql.SERVED + "\nSELECT * FROM served")
+def store_two_loads(spark, d):
+    return store.read_store(spark, stored(spark, d)).drop("indexed_at")
+
+
+@query("store_lookup", _hits(f"nr_documento_1 = '{DOCUMENT}' OR nr_documento_2 = '{DOCUMENT}'", 10))
+def store_lookup(spark, d):
+    return store.search_store(spark, stored(spark, d), DOCUMENT).drop("indexed_at")
+
+
+@query("store_lookup_batch", sql.SERVED + """
+SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY document
+    ORDER BY similarity_score DESC, match_id) AS r FROM (
+        SELECT nr_documento_1 AS document, * FROM served WHERE nr_documento_1 IN (SELECT nr_documento FROM b)
+        UNION SELECT nr_documento_2, * FROM served)) WHERE r <= 10""")
+def store_lookup_batch(spark, d):
+    asked = persons_b(spark, d).select(F.col("nr_documento").alias("document"))
+    return store.search_store_batch(spark, stored(spark, d), asked).drop("indexed_at")
+
+
+@query("indexed_name_fuzzy", _hits(
+    " OR ".join(sql.fuzzy(f"nome_completo_{n}", FUZZY_WORDS) for n in (1, 2)), 10))
+def indexed_name_fuzzy(spark, d):
+    return name_index.search_indexed(spark, *indexed(spark, d), FUZZY).drop("indexed_at")
+
+
+@query("indexed_name_phrase", _hits(
+    " OR ".join(sql.phrase(f"nome_completo_{n}", "drumelo hortelano") for n in (1, 2)), 10))
+def indexed_name_phrase(spark, d):
+    return name_index.search_indexed(spark, *indexed(spark, d), "Drumelo Hortelano", fuzzy=False).drop("indexed_at")
+
+
+@query("indexed_name_batch", sql.SERVED + sql.INDEXED_WORDS + """
+SELECT query_id, match_id, similarity_score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity_score DESC, match_id) AS r
+FROM (SELECT DISTINCT query_id, match_id, similarity_score FROM asked JOIN near USING (word) JOIN places USING (token))) WHERE r <= 3""")
+def indexed_name_batch(spark, d):
+    """The three best matches with a word near to one of the name, for every name of table B."""
+    asked = persons_b(spark, d).selectExpr("nr_documento AS query_id", "nome_completo AS query_name")
+    found = name_index.search_indexed_batch(spark, *indexed(spark, d), asked, top=3)
+    return found.select("query_id", "match_id", "similarity_score")
+
+
+@query("indexed_phrase_batch", sql.SERVED + sql.INDEXED_PHRASES + """
+SELECT query_id, match_id, similarity_score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity_score DESC, match_id) AS r
+FROM (SELECT DISTINCT query_id, match_id, similarity_score FROM asked JOIN names ON contains(words, phrase))) WHERE r <= 3""")
+def indexed_phrase_batch(spark, d):
+    """The three best matches with the last two words of the name side by side, for every name of table B."""
+    words = F.regexp_extract("nome_completo", r"(\w+ \w+)$", 1)
+    asked = persons_b(spark, d).select(F.col("nr_documento").alias("query_id"), words.alias("query_name"))
+    found = name_index.search_indexed_batch(spark, *indexed(spark, d), asked, top=3, fuzzy=False)
+    return found.select("query_id", "match_id", "similarity_score")
+
+
 @query("search_min_score", _hits("similarity_score >= 0.8", 100))
 def search_min_score(spark, d):
     return search.search_high_quality(served(spark, d))
