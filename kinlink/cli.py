@@ -6,14 +6,17 @@ import argparse
 import time
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinlink.operators import search, stats
 from kinlink.operators.pairing import STRATEGIES
 from kinlink.operators.blocking import BLOCKS
-from kinlink.operators.scoring import MatchConfig
+from kinlink.operators.ranking import top_n
+from kinlink.operators.scoring import MatchConfig, Weights
 from kinlink.plans import match as plan, refresh, serve
+from kinlink.schema import MATCH_COLUMNS, MATCH_SCHEMA
 from kinlink.sources import generate, sinks, tables
+from kinlink.streaming import jobs
 
 
 def parser() -> argparse.ArgumentParser:
@@ -28,6 +31,10 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--block", nargs="+", choices=list(BLOCKS), default=["phonetic"])
         p.add_argument("--max-age-gap", type=int, default=5)
         p.add_argument("--strategy", choices=STRATEGIES, default="auto")
+        p.add_argument("--status", help="only rows with this status")
+        p.add_argument("--normalize", action="store_true", help="fold accents and case in the blocking key")
+        p.add_argument("--null-document", choices=["drop", "zero"], default="drop")
+        p.add_argument("--weights", nargs=5, type=float, metavar=("LEV", "JARO", "SOUNDEX", "DATE", "DOCUMENT"), help="sum 1")
 
     p = command("match", "match two person tables")
     p.add_argument("--dataset1", required=True, help="Parquet path, or database.table with --catalog")
@@ -46,6 +53,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--previous", help="output of the last run: match new files only")
     matching(p)
 
+    p = command("stream", "match the files that arrive in a folder; what is there is taken, then it stops")
+    p.add_argument("--arrivals", required=True, help="folder of new Parquet files")
+    p.add_argument("--known", required=True, help="person table to match against")
+    p.add_argument("--output", required=True)
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--max-files", type=int, help="files in one batch")
+    p.add_argument("--serve", action="store_true", help="write each batch as a load of a served table")
+    p.add_argument("--as-of", type=date.fromisoformat, default=None)
+    matching(p)
+
     p = command("names", "search names in a person table or in matches")
     p.add_argument("--name", required=True)
     p.add_argument("--dataset")
@@ -85,7 +102,8 @@ def parser() -> argparse.ArgumentParser:
 def _config(args, **more) -> MatchConfig:
     return MatchConfig(
         threshold=args.threshold, blocks=tuple(args.block), max_age_gap=args.max_age_gap,
-        strategy=args.strategy, **more,
+        strategy=args.strategy, status=args.status, normalize=args.normalize, null_document=args.null_document,
+        weights=Weights(*args.weights) if args.weights else Weights(), **more,
     )
 
 
@@ -104,7 +122,10 @@ def run_match(spark: SparkSession, args) -> DataFrame:
         sinks.write_by_score_band(found, args.output)
     else:
         sinks.write_matches(found, args.output, args.files)
-    return stats.run_report(time.perf_counter() - start, spark.read.parquet(args.output))
+    done = spark.read.schema(MATCH_SCHEMA).parquet(args.output)
+    report = stats.run_report(time.perf_counter() - start, done)
+    top_n(done, 10, F.desc("similarity_score"), *[F.col(c) for c in MATCH_COLUMNS]).show(10, truncate=False)
+    return report
 
 
 def run_refresh(spark: SparkSession, args) -> DataFrame:
@@ -116,6 +137,18 @@ def run_refresh(spark: SparkSession, args) -> DataFrame:
     return spark.createDataFrame([(output is not None, output)], "changed boolean, output string")
 
 
+def run_stream(spark: SparkSession, args) -> DataFrame:
+    new, known = jobs.stream_files(spark, args.arrivals, max_files=args.max_files), tables.read_persons(spark, args.known)
+    if args.serve:
+        as_of = args.as_of or datetime.now(timezone.utc).date()
+        jobs.match_arrivals(new, known, args.output, args.checkpoint, _config(args), as_of)
+        found = serve.read_served(spark, args.output)
+    else:
+        jobs.match_batches(new, known, args.output, args.checkpoint, _config(args))
+        found = jobs.read_batches(spark, args.output)
+    return found.agg(F.count("*").alias("matches"))
+
+
 def run_names(spark: SparkSession, args) -> DataFrame:
     if args.matches is not None:
         return search.search_in_matches(tables.read_matches(spark, args.matches), args.name, args.top, args.threshold)
@@ -136,6 +169,7 @@ def run_search(spark: SparkSession, args) -> DataFrame:
     table = serve.read_served(spark, args.table)
     top = {} if args.top is None else {"top": args.top}
     if args.stats:
+        stats.score_histogram(table).show(11)
         return stats.match_stats(table)
     if args.document is not None:
         return search.search_by_document(table, args.document, min_score=args.min_score, **top)
@@ -158,7 +192,7 @@ def run_generate(spark: SparkSession, args) -> DataFrame:
     return spark.read.parquet(f"{args.output}/dataset1").limit(5)
 
 
-RUN = {"match": run_match, "refresh": run_refresh, "names": run_names, "serve": run_serve,
+RUN = {"match": run_match, "refresh": run_refresh, "stream": run_stream, "names": run_names, "serve": run_serve,
        "search": run_search, "generate": run_generate}
 
 

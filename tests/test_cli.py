@@ -31,6 +31,21 @@ def test_from_generated_tables_to_a_search(spark, folder):
     assert run(spark, *refresh)[0]["changed"] and not run(spark, *refresh)[0]["changed"]
 
 
+def test_options_of_a_match_and_a_stream(spark, folder):
+    run(spark, "generate", "--records", 200, "--output", folder)
+    a, b = f"{folder}/dataset1", f"{folder}/dataset2"
+    batch, = run(spark, "match", "--dataset1", a, "--dataset2", b, "--output", f"{folder}/m", "--max-matches", 1000)
+    for more in ((), ("--serve", "--as-of", "2025-06-30")):
+        done, = run(spark, "stream", "--arrivals", a, "--known", b, "--output", f"{folder}/s{len(more)}", "--checkpoint", f"{folder}/c{len(more)}", *more)
+        assert done["matches"] == batch["matches"] > 0
+    some, = run(spark, "match", "--dataset1", a, "--dataset2", b, "--output", f"{folder}/n", "--status", "Ativo", "--normalize", "--null-document", "zero",
+                "--weights", 0.2, 0.2, 0.2, 0.2, 0.2)
+    assert some["matches"] < batch["matches"]
+    assert {r["status_1"] for r in spark.read.parquet(f"{folder}/n").collect()} == {"Ativo"}
+    with pytest.raises(ValueError):
+        run(spark, "match", "--dataset1", a, "--dataset2", b, "--output", f"{folder}/n", "--weights", 1, 1, 0, 0, 0)
+
+
 def test_missing_criteria_are_refused(spark, folder):
     with pytest.raises(SystemExit):
         run(spark, "names", "--name", "Ana")
