@@ -154,15 +154,17 @@ def _prefixes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, set) of the rows (class, text) whose text has that class; a document may have others."""
     for batch in batches:
+        own = [(c, x.view(np.int64)) for c, x in zip(batch.column(0).to_pylist(), _sets(batch.column(1))) if len(x) and _class(x) == c]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([x.view(np.int64) for x in _sets(batch.column(1))], pa.list_(pa.int64()))], ["id", "tokens"])
+            [pa.array([c for c, _ in own], pa.int64()), pa.array([x for _, x in own], pa.list_(pa.int64()))], ["id", "tokens"])
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs: components of links at Jaccard 0.8 or more, exactly.
 
-    1. Documents with equal sets form a class; one of each class, the smallest id, goes on.
+    1. Documents with equal sets form a class, a node of the search, and the text of its smallest id goes on.
     2. In hash order, the first 0.2 n + 0.1 n hashes of two linked sets share 0.08 n at least. Classes with fewer
        hashes in any other class's prefix have no link.
     3. The rest is grouped by its rarest hashes: two linked sets share one of the first 0.2 n + 1 hashes of each,
@@ -171,8 +173,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
        group is first searched with about four pivots; then only documents outside its largest component are
        queries, against all its blocks.
     Shingles are 64-bit hashes. Fewer than five words make one shingle; null, empty and blank texts have none and
-    are alone. A null doc_id takes no part in links and has component null. Rows repeated with one id count as one
-    document with the links of either. Other columns are not read; an empty table gives no rows.
+    are alone. A null doc_id takes no part in links and has component null. Rows with one id count as one
+    document with the links of each, but those without words are alone. Other columns are not read; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     classes = written(docs.mapInArrow(_classes, "doc_id bigint, n_shingles bigint, class bigint"), "sets")
@@ -182,9 +184,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
               .select("bucket", F.explode(F.array("hub", "member")).alias("class")).distinct()
               .groupBy("class").agg(F.count("*").alias("shared")))
     enough = F.greatest(F.lit(1), F.expr(f"((n * {PERCENT} + 99) div 100) div 10"))
-    survivors = first.join(shared, "class").withColumn("enough", enough).where("shared >= enough").select("id", "n")
-    survivors = written(survivors, "survivors")
-    chosen = docs.join(survivors.select("id"), docs.doc_id == F.col("id")).select("id", "text")
+    survivors = written(first.join(shared, "class").withColumn("enough", enough).where("shared >= enough")
+                        .select(F.col("class").alias("id"), F.col("id").alias("doc_id"), "n"), "survivors")
+    chosen = docs.join(survivors.select("id", "doc_id"), "doc_id").select("id", "text")
+    survivors = survivors.drop("doc_id")
     sets = written(chosen.mapInArrow(_token_rows, "id bigint, tokens array<bigint>").dropDuplicates(["id"]), "survivor-sets")
 
     tokens = written(sets.select("id", F.explode("tokens").alias("token")), "tokens")
@@ -213,8 +216,13 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         labels = connected_components(links).toDF("id", "label")
         labelled = large.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         links = links.union(written(_in_cells(minority_cells(labelled, "tokens", BLOCK)), "more-links"))
-    linked = connected_components(links).toDF("id", "component_id")
-    return (classes.join(first.select("class", "id"), "class", "left").join(linked, "id", "left")
+    # The classes of one id belong together.
+    own = written(classes.where("doc_id IS NOT NULL AND class IS NOT NULL").groupBy("doc_id")
+                  .agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b").select("doc_id", "a"), "several-texts")
+    same = classes.join(own, "doc_id").where("class != a").select("a", F.col("class").alias("b")).distinct()
+    joined = written(connected_components(links.union(same)).toDF("class", "label").join(first.select("class", "id"), "class"), "components")
+    linked = joined.join(joined.groupBy("label").agg(F.min("id").alias("component_id")), "label").select("class", "component_id")
+    return (classes.join(first.select("class", "id"), "class", "left").join(linked, "class", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "id", "doc_id")).alias("component_id")))
 
 

@@ -80,6 +80,19 @@ def test_similar_documents_near_the_limit_and_in_large_groups(spark, monkeypatch
     assert got == brute_documents(rows)
 
 
+def test_texts_that_share_an_id(spark):
+    """Each text of an id has its own links, which the id's other texts share; equal rows change nothing."""
+    rng = random.Random(12)
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    rows = [(1, text(1)), (5, near(text(1))), (5, text(2)), (5, text(2)), (9, near(text(2))), (7, text(3)), (7, text(4)), (6, near(text(4))), (8, text(5)), (8, None),
+            (11, text(6)), (10, text(6)), (11, text(7)), (12, near(text(7)))]
+    for _ in range(3):
+        rng.shuffle(rows)
+        got = {(r.doc_id, r.component_id) for r in ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+        assert got == {(1, 1), (5, 1), (9, 1), (7, 6), (6, 6), (8, 8), (11, 10), (10, 10), (12, 10)}
+
+
 def test_divide_skip_against_counting():
     rng = random.Random(7)
     for _ in range(300):
@@ -140,6 +153,13 @@ def test_short_lines_take_part(spark):
     assert got == {place: (*copy.get(place, place), place in first) for place in (*first, *copy)}
 
 
+def test_lines_of_texts_that_share_an_id(spark):
+    """Only the line that stands elsewhere goes, from the text it stands in."""
+    rows = [(1, "B\nalpha line of words"), (2, "B\nbeta line of words"), (2, "unique\nsecond line here"), (2, "unique\nsecond line here"), (3, "third\nunique")]
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, "B\nalpha line of words"), (2, "beta line of words"), (2, "unique\nsecond line here"), (2, "unique\nsecond line here"), (3, "third")]
+
+
 def test_lines_awkward(awkward, nothing):
     kept = line_dedup.dedup_lines(awkward)
     rows = {r.doc_id: r.text for r in kept.collect()}
