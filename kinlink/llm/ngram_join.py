@@ -154,11 +154,11 @@ def _prefixes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, set) of the rows (class, text) whose text has that class; a document may have others."""
+    """(class, set) of each text that has words."""
     for batch in batches:
-        own = [(c, x.view(np.int64)) for c, x in zip(batch.column(0).to_pylist(), _sets(batch.column(1))) if len(x) and _class(x) == c]
+        own = [x for x in _sets(batch.column(0)) if len(x)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([c for c, _ in own], pa.int64()), pa.array([x for _, x in own], pa.list_(pa.int64()))], ["id", "tokens"])
+            [pa.array([_class(x) for x in own], pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))], ["id", "tokens"])
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -186,7 +186,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     enough = F.greatest(F.lit(1), F.expr(f"((n * {PERCENT} + 99) div 100) div 10"))
     survivors = written(first.join(shared, "class").withColumn("enough", enough).where("shared >= enough")
                         .select(F.col("class").alias("id"), F.col("id").alias("doc_id"), "n"), "survivors")
-    chosen = docs.join(survivors.select("id", "doc_id"), "doc_id").select("id", "text")
+    # Of an id with several texts the others come along; classes that have no link are left out again where prefixes are made.
+    chosen = docs.join(survivors.select("doc_id"), "doc_id", "left_semi").select("text")
     survivors = survivors.drop("doc_id")
     sets = written(chosen.mapInArrow(_token_rows, "id bigint, tokens array<bigint>").dropDuplicates(["id"]), "survivor-sets")
 
