@@ -187,7 +187,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     survivors = written(first.join(shared, "class").withColumn("enough", enough).where("shared >= enough")
                         .select(F.col("class").alias("id"), F.col("id").alias("doc_id"), "n"), "survivors")
     # Of an id with several texts the others come along; classes that have no link are left out again where prefixes are made.
-    chosen = docs.join(survivors.select("doc_id"), "doc_id", "left_semi").select("text")
+    # The ids alone are a table of their own: what Spark compares with its limit of a broadcast is the size of the file.
+    chosen = docs.join(written(survivors.select("doc_id"), "survivor-ids"), "doc_id", "left_semi").select("text")
     survivors = survivors.drop("doc_id")
     sets = written(chosen.mapInArrow(_token_rows, "id bigint, tokens array<bigint>").dropDuplicates(["id"]), "survivor-sets")
 
