@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +19,22 @@ ALPHABET = 61
 DISGUISES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
              "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz", "#": "abcdefghijklmnopqrstuvwxyz"}
 SEPARATORS = ".-_~'`·*"
-KEEP, SWAP, DROP = np.log(0.9), np.log(0.3), np.log(0.4)
-BEAM, SPELT, HEAD = 12, 4, 8
+#: Marks among DISGUISES that also open words.
+OPENING = "(#"
+#: Log probabilities of a character as it stands, as one of its letters, as nothing; the last for marks that may be letters.
+KEEP, SWAP, DROP, DROP_MARK = np.log(0.9), np.log(0.3), np.log(0.4), np.log(0.1)
+#: Lengths of words looked for inside a spelt-out run, beside those that reach its end.
+SPELT = (3, 4, 5, 6, 7, 8)
+#: Characters of a word that are gone through before states are kept.
+PIECE = 512
 PREFIXES = (4, 5, 6)
 TRAINING_DOCUMENTS, TRAINING_CHARS = 3000, 20_000
 #: Least log-likelihood ratio of a feature in the lexicon.
 EVIDENCE = 20.0
-CACHED = 200_000
+#: Restored words that a task remembers, and their greatest length.
+CACHED, CACHED_CHARS = 200_000, 64
+#: Words restored side by side, and tails of words held.
+LOT = 2048
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -34,7 +44,12 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b".-_~'`*")] = True
 _TRAIL = np.zeros(256, bool)
 _TRAIL[list(b".,;:!?\"')]}>")] = True
-_HIDDEN = re.compile(r"[^\W\d_][0-9@$!|+(*#€£]+[^\W\d_]|(?:^|[\"'(])[0-9@$|]{1,2}[^\W\d_]|[^\W\d_][0-9@$]{1,2}(?=$|[.,;:?])|([^\W\d_])\1\1|(?:[^\W\d_][.\-_~'`·*]+){3,}")
+_CLOSING = _TRAIL.copy()
+_CLOSING[ord("!")] = False
+_MARK = np.zeros(256, bool)
+_MARK[list(b"@$!|+")] = True
+_WIDE = re.compile("[*#]{3}")
+_SYMBOLS = np.arange(ALPHABET)
 
 
 def symbol(points: np.ndarray) -> np.ndarray:
@@ -77,91 +92,264 @@ def character_model(docs: DataFrame) -> np.ndarray:
     c2, c1 = c3.sum(0), c3.sum((0, 1))
     p1 = (c1 + 1) / (c1.sum() + ALPHABET)
     p2 = (c2 + 20 * p1) / (c2.sum(1, keepdims=True) + 20)
-    return np.log((c3 + 20 * p2[None]) / (c3.sum(2, keepdims=True) + 20)).astype(np.float32)
+    table = np.log((c3 + 20 * p2[None]) / (c3.sum(2, keepdims=True) + 20)).astype(np.float32)
+    return np.ascontiguousarray(table.transpose(2, 0, 1)).transpose(1, 2, 0)  # the pairs before one symbol lie side by side
+
+
+@lru_cache(1 << 16)
+def _readings(c: str, again: bool, first: bool) -> tuple[dict[int, str], float, float | None]:
+    """What a lower-case character may stand for: letters by symbol, the log probability of each, that of nothing.
+
+    `again` tells that it repeats the one before it. A mark that begins a word is a letter, unless it often opens words.
+    """
+    if c.isalpha():
+        letters, cost = c, KEEP
+    elif c in DISGUISES:
+        letters, cost = DISGUISES[c], SWAP - np.log(len(DISGUISES[c]))
+    else:
+        letters, cost = "" if c in SEPARATORS else c, KEEP
+    drop = None
+    if c in SEPARATORS or again or not c.isalnum() and c not in DISGUISES:
+        drop = DROP
+    elif not c.isalnum() and c not in "@$" and (not first or c in OPENING):
+        drop = DROP_MARK
+    return {int(symbol(np.array([ord(x)]))[0]): x for x in letters}, cost, drop
+
+
+def _advance(states: np.ndarray, reading: tuple, model: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray], np.ndarray | None]:
+    """States after one more character, the best symbol before last by symbol read, and where it is read as nothing."""
+    letters, cost, drop = reading
+    after = np.full(states.shape, -np.inf)
+    before = {}
+    for x in letters:
+        total = states + model[:, :, x]
+        before[x] = total.argmax(0)
+        after[:, x] = total[before[x], _SYMBOLS] + cost
+    if drop is None:
+        return after, before, None
+    nothing = states + drop >= after
+    return np.where(nothing, states + drop, after), before, nothing
 
 
 def restore(word: str, model: np.ndarray) -> str:
     """The likeliest spelling of a written word: Viterbi over the lattice of what its characters may stand for.
 
     A character stands for itself, for a letter of DISGUISES, or, if it separates letters or repeats the one before
-    it, for nothing. States are the last two symbols; the best twelve go on at each step.
+    it, for nothing. States are all pairs of last symbols, none is cut. Long words are gone through in pieces whose
+    first states are kept and read again backwards, so that memory grows with the number of pieces only.
     """
     word = word.lower()
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    code = {c: int(symbol(np.array([ord(c)]))[0]) for c in set(word) | set("abcdefghijklmnopqrstuvwxyz")}
-    for i, c in enumerate(word):
-        if c.isalpha():
-            options = [(c, KEEP)]
-        else:
-            options = [(x, SWAP - np.log(len(DISGUISES[c]))) for x in DISGUISES.get(c, "")]
-            if c not in DISGUISES and c not in SEPARATORS:
-                options.append((c, KEEP))
-        drop = DROP if c in SEPARATORS or not c.isalnum() and c not in "@$" or i and c == word[i - 1] else None
-        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (two, one), (score, path) in states.items():
-            if drop is not None:
-                if (two, one) not in following or following[two, one][0] < score + drop:
-                    following[two, one] = (score + drop, path)
-            for x, cost in options:
-                own = code[x] if x in code else 60
-                total = score + cost + float(model[two, one, own])
-                if (one, own) not in following or following[one, own][0] < total:
-                    following[one, own] = (total, (path, x))
-        states = dict(sorted(following.items(), key=lambda kv: -kv[1][0])[:BEAM])
-    _, path = max(((score + float(model[two, one, 0]), path) for (two, one), (score, path) in states.items()), key=lambda e: e[0])
-    letters = []
-    while path is not None:
-        path, letter = path
-        letters.append(letter)
+    readings = [_readings(c, i > 0 and c == word[i - 1], i == 0) for i, c in enumerate(word)]
+    states = np.full((ALPHABET, ALPHABET), -np.inf)
+    states[0, 0] = 0.0
+    pieces = [readings[i:i + PIECE] for i in range(0, len(readings), PIECE)] or [[]]
+    first = [states]
+    for piece in pieces[:-1]:
+        for reading in piece:
+            states, _, _ = _advance(states, reading, model)
+        first.append(states)
+    letters, place = [], None
+    for states, piece in zip(reversed(first), reversed(pieces)):
+        back = []
+        for reading in piece:
+            states, *pointers = _advance(states, reading, model)
+            back.append(pointers)
+        if place is None:
+            place = divmod(int((states + model[:, :, 0]).argmax()), ALPHABET)
+        for (options, _, _), (before, nothing) in zip(reversed(piece), reversed(back)):
+            two, one = place
+            if nothing is None or not nothing[two, one]:
+                letters.append(options[one])
+                place = int(before[one][two]), two
     return "".join(reversed(letters))
 
 
+def _tail_scores(tail: str, begins: bool, model: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The best score of reading a tail and the word's end after each pair of symbols, and the choice at each place (0 nothing).
+
+    `begins` tells that the tail is the whole word.
+    """
+    scores, choices = model[:, :, 0].astype(np.float64), []
+    for i in range(len(tail) - 1, -1, -1):
+        letters, cost, drop = _readings(tail[i], i > 0 and tail[i] == tail[i - 1], begins and i == 0)
+        ways = np.stack([np.full(scores.shape, -np.inf) if drop is None else scores + drop, *(model[:, :, x] + cost + scores[:, x] for x in letters)])
+        choices.append(ways.argmax(0).astype(np.uint8))
+        scores = ways.max(0)
+    return scores.ravel(), choices[::-1]
+
+
+def _tail_text(tail: str, begins: bool, choices: list[np.ndarray], state: int) -> str:
+    two, one = divmod(state, ALPHABET)
+    text = ""
+    for i, choice in enumerate(choices):
+        if choice[two, one]:
+            x, letter = list(_readings(tail[i], i > 0 and tail[i] == tail[i - 1], begins and i == 0)[0].items())[choice[two, one] - 1]
+            two, one, text = one, x, text + letter
+    return text
+
+
+def restore_all(words: list[str], model: np.ndarray, tails: dict[tuple, tuple] | None = None) -> list[str]:
+    """`restore` of many words side by side, with equal results.
+
+    All words advance by one character at a time; only states that occur are held. What follows a word's last letter or
+    digit, the same few marks in many words, is scored once, from its end. Long words, and those with three stars or crosses
+    side by side before one, go one by one.
+    """
+    tails = {} if tails is None else tails
+    if len(words) > LOT:
+        return [x for i in range(0, len(words), LOT) for x in restore_all(words[i:i + LOT], model, tails)]
+    words = [w.lower() for w in words]
+    out = [""] * len(words)
+    ends = [max((i + 1 for i, c in enumerate(w) if c.isalnum()), default=0) for w in words]
+    alone = [i for i, w in enumerate(words) if len(w) > CACHED_CHARS or _WIDE.search(w, 0, ends[i])]
+    for i in alone:
+        out[i] = restore(words[i], model)
+    aside = set(alone)
+    order = np.array([i for i in range(len(words)) if i not in aside], np.int64)
+    if not len(order):
+        return out
+    size = np.array(ends, np.int64)[order]
+    kinds: dict[tuple[str, bool, bool], int] = {}
+    reading = np.zeros((len(order), int(size.max())), np.int64)
+    for row, i in enumerate(order.tolist()):
+        last = ""
+        for t, c in enumerate(words[i][:ends[i]]):
+            reading[row, t] = kinds.setdefault((c, c == last, t == 0), len(kinds))
+            last = c
+    known = [_readings(*kind) for kind in kinds]
+    ways = np.array([len(x[0]) for x in known], np.int64)
+    begin = np.cumsum(ways) - ways
+    symbols = np.array([x for r in known for x in r[0]], np.int64)
+    letter = np.array([ord(x) for r in known for x in r[0].values()], np.uint32)
+    cost = np.array([x[1] for x in known])
+    drop = np.array([-np.inf if x[2] is None else x[2] for x in known])
+
+    word, code, score = np.arange(len(order)), np.zeros(len(order), np.int64), np.zeros(len(order))
+    steps, final = [], np.zeros(len(order), np.int64)
+    final_state = np.zeros(len(order), np.int64)
+    own_tails = [(words[i][ends[i]:], not ends[i]) for i in order.tolist()]
+    fresh = set(own_tails) - tails.keys()
+    if len(fresh) + len(tails) > LOT:
+        tails.clear()
+        fresh = set(own_tails)
+    for tail in fresh:
+        tails[tail] = _tail_scores(*tail, model)
+    of_tail = {tail: i for i, tail in enumerate(dict.fromkeys(own_tails))}
+    table = np.stack([tails[t][0] for t in of_tail])
+    tail_of = np.array([of_tail[t] for t in own_tails], np.int64)
+    for t in range(reading.shape[1] + 1):
+        done = np.flatnonzero(size[word] == t)
+        if len(done):
+            best = done[np.lexsort((-(score[done] + table[tail_of[word[done]], code[done]]), word[done]))]
+            best = best[np.concatenate([[True], np.diff(word[best]) > 0])]
+            final[word[best]], final_state[word[best]] = best, code[best]
+        going = np.flatnonzero(size[word] > t)
+        if not len(going):
+            break
+        kind = reading[word[going], t]
+        skip = np.isfinite(drop[kind])
+        n = ways[kind]
+        at = np.repeat(np.arange(len(going)), n)
+        option = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + begin[kind][at]
+        two, one = np.divmod(code[going][at], ALPHABET)
+        parent = np.concatenate([going[skip], going[at]])
+        chosen = np.concatenate([np.full(int(skip.sum()), -1), option])
+        score = np.concatenate([score[going[skip]] + drop[kind[skip]], score[going[at]] + model[two, one, symbols[option]] + cost[kind[at]]])
+        code = np.concatenate([code[going[skip]], one * ALPHABET + symbols[option]])
+        key = word[parent] * ALPHABET**2 + code
+        by = np.argsort(key, kind="stable")
+        group = np.concatenate([[True], np.diff(key[by]) != 0])
+        best = np.maximum.reduceat(score[by], np.flatnonzero(group))[np.cumsum(group) - 1]
+        by, which = by[score[by] == best], (np.cumsum(group) - 1)[score[by] == best]
+        by = by[np.concatenate([[True], np.diff(which) != 0])]
+        word, code, score = word[parent[by]], code[by], score[by]
+        steps.append((parent[by], chosen[by]))
+    text = np.zeros(reading.shape, np.uint32)
+    for t in range(len(steps) - 1, -1, -1):
+        live = np.flatnonzero(size > t)
+        parent, chosen = steps[t]
+        option = chosen[final[live]]
+        text[live, t] = np.where(option < 0, 0, letter[np.maximum(option, 0)])
+        final[live] = parent[final[live]]
+    whole = text[text > 0].tobytes().decode("utf-32-le")
+    cuts = np.concatenate([[0], np.cumsum((text > 0).sum(1))]).tolist()
+    for row, i in enumerate(order.tolist()):
+        out[i] = whole[cuts[row]:cuts[row + 1]]
+        tail = own_tails[row]
+        if tail[0]:
+            out[i] += _tail_text(*tail, tails[tail][1], int(final_state[row]))
+    return out
+
+
 class Reader:
     """Hashes of the words and word beginnings of texts, with disguised words restored."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model, {}
-
-    def restored(self, word: str) -> str:
-        own = self.known.get(word)
-        if own is None:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            own = restore(word, self.model) if _HIDDEN.search(word) else ""
-            self.known[word] = own
-        return own
+        self.model, self.known, self.tails = model, {}, {}
+
+    def restored(self, words: list[str]) -> list[str]:
+        """The likeliest spellings; those found before are remembered."""
+        fresh = list(dict.fromkeys(w for w in words if w not in self.known))
+        own = dict(zip(fresh, restore_all(fresh, self.model, self.tails)))
+        out = [own[w] if w in own else self.known[w] for w in words]
+        if len(self.known) + len(own) > CACHED:
+            self.known.clear()
+        self.known.update((w, x) for w, x in own.items() if len(w) <= CACHED_CHARS)
+        return out
 
     def features(self, seg: K.Segment) -> tuple[np.ndarray, np.ndarray]:
-        """(row, hash): each word without closing marks, and its first 4, 5 and 6 bytes, of the text and of restored words."""
+        """(row, hash): each word without closing marks, and its first 4, 5 and 6 bytes, of the text and of restored words.
+
+        Restored are words with a disguise, a separator inside or a character twice in a row, and runs of two and
+        more single characters, read as one word from each of its places to its end, and for 3 to 8 letters. Words
+        without a letter are numbers unless they hold two disguises that are no digits.
+        """
         data = K.LOWER[seg.data]
         start, end, row = K.words(seg)
-        letters, hidden, separators, triple = (np.concatenate([[0], np.cumsum(x)]) for x in (
-            _LETTER[data], _DISGUISE[data], _SEPARATOR[data],
-            np.concatenate([(data[2:] == data[1:-1]) & (data[2:] == data[:-2]), [False, False]])[:len(data)] if len(data) > 2 else np.zeros(len(data), bool)))
-        has = lambda x: x[end] - x[start]
-        odd = np.flatnonzero((has(letters) > 0) & ((has(hidden) > 0) | (has(separators) > 2) | (has(triple) > 0)))
-        extra_rows, extra = [], []
-        for i in odd.tolist():
-            own = self.restored(data[start[i]:end[i]].tobytes().decode("utf-8", "replace"))
-            if own:
-                extra_rows.append(row[i])
-                extra.append(own)
-        single = (K.char_counts(data)[end] - K.char_counts(data)[start]) == 1
+        close = end.copy()
+        for _ in range(2):
+            shorter = (close - start > 1) & _CLOSING[data[close - 1]]
+            close[shorter] -= 1
+        white = np.concatenate([[True], K.WHITE[data], [True]])
+        twice = np.concatenate([data[1:] == data[:-1], [False]]) if len(data) else np.zeros(0, bool)
+        if len(data) > 3:
+            twice[:-3] |= (data[2:-1] == data[:-3]) & (data[3:] == data[1:-2]) & (data[:-3] >= 0xC0)
+        letters, marks, hidden, inside, doubled = (np.concatenate([[0], np.cumsum(x)]) for x in (
+            _LETTER[data], _MARK[data], _DISGUISE[data], _SEPARATOR[data] & ~white[:-2] & ~white[2:], twice))
+        has = lambda x, b=close: x[b] - x[start]
+        odd = np.flatnonzero(((has(letters) > 0) | (has(marks) > 1)) & ((has(hidden) > 0) | (has(inside) > 0) | (has(doubled, close - 1) > 0)))
+        parts = [(data, start, end, row, True)]
+        if len(odd):
+            _, at, which = np.unique(K.span_hashes(data, start[odd], close[odd]), return_index=True, return_inverse=True)
+            written = [data[start[i]:close[i]].tobytes().decode("utf-8", "replace").lower() for i in odd[at].tolist()]
+            spelt, a, b = _joined(["" if own == w.rstrip("!") else own for w, own in zip(written, self.restored(written))])
+            some = b[which] > a[which]
+            parts.append((spelt, a[which][some], b[which][some], row[odd][some], True))
+        points = K.char_counts(data)
+        single = (points[end] - points[start] == 1) & (_LETTER[data[start]] | _DISGUISE[data[start]]) if len(start) else np.zeros(0, bool)
         edges = np.flatnonzero(np.diff(np.concatenate([[0], np.where(single, row + 1, 0), [0]])))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if b - a >= SPELT and single[a]:  # words spelt out; they may begin at any letter
-                own = restore("".join(data[start[i]:end[i]].tobytes().decode("utf-8", "replace") for i in range(a, b)), self.model)
-                extra += [own[i:i + HEAD] for i in range(len(own))]
-                extra_rows += [row[a]] * len(own)
+        runs = [(a, b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())
+                if b - a > 1 and single[a] and (letters[end[b - 1]] > letters[start[a]] or marks[end[b - 1]] - marks[start[a]] > 1)]
+        if runs:
+            spelt, a, b = _joined(self.restored(["".join(data[start[i]:end[i]].tobytes().decode("utf-8", "replace") for i in range(*run)) for run in runs]))
+            size = b - a
+            place = np.repeat(a - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+            last, owner = np.repeat(b, size), np.repeat(row[[run[0] for run in runs]], size)
+            begins = (spelt[place] & 0xC0) != 0x80
+            place, last, owner = place[begins], last[begins], owner[begins]
+            parts.append((spelt, place, last, owner, True))
+            for n in SPELT:
+                inner = place + n < last
+                parts.append((spelt, place[inner], place[inner] + n, owner[inner], False))
         rows, hashes = [], []
-        for part, (d, a, b, r) in enumerate(((data, start, end, row), _joined(extra, extra_rows))):
+        for d, a, b, r, beginnings in parts:
             if not len(a):
                 continue
             b = b.copy()
             for _ in range(2):
                 shorter = (b - a > 1) & _TRAIL[d[b - 1]]
                 b[shorter] -= 1
-            for k, upto in ((0, b), *((k, np.minimum(a + k, b)) for k in PREFIXES)):
+            for k, upto in ((0, b), *((k, np.minimum(a + k, b)) for k in PREFIXES if beginnings)):
                 whole = upto == b if k else np.zeros(len(a), bool)
                 own = K.span_hashes(d, a, upto) ^ K.U(k * 0x9E37)
                 rows.append(r[~whole])
@@ -169,11 +357,11 @@ class Reader:
         return (np.concatenate(rows), np.concatenate(hashes)) if rows else (np.zeros(0, np.int64), np.zeros(0, K.U))
 
 
-def _joined(extra: list[str], rows: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    parts = [x.encode() for x in extra]
+def _joined(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of words one after another, and where each begins and ends."""
+    parts = [x.encode() for x in words]
     cuts = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)]).astype(np.int64)
-    keep = np.diff(cuts) > 0
-    return np.frombuffer(b"".join(parts), np.uint8), cuts[:-1][keep], cuts[1:][keep], np.array(rows, np.int64)[keep]
+    return np.frombuffer(b"".join(parts), np.uint8), cuts[:-1], cuts[1:]
 
 
 @dataclass

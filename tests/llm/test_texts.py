@@ -217,20 +217,66 @@ def test_disguised_words_are_restored(spark):
     row, own = reader.features(seg)
     sets = [set(own[row == i].tolist()) for i in range(3)]
     assert sets[2] <= sets[1] and sets[2] & sets[0]
+    for written, word in (("!diot", "idiot"), ("+rash", "trash"), ("st.upid", "stupid"), ("i-d-iot", "idiot"), ("stuupid", "stupid"), ("idioot", "idiot"),
+                          ("s*upid", "stupid"), ("st#pid", "stupid"), ("s.t-u_p.1.d", "stupid")):
+        assert toxicity.restore(written, model) == word
+    assert toxicity.restore("", model) == "" and toxicity.restore("...", model) == ""
+
+
+def test_every_disguise_reaches_the_lattice(spark):
+    model = toxicity.character_model(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    plain = ["idiot", "stupid", "trash", "moron"]
+    hidden = [("!diot,", 0), ("I-D-IOT", 0), ("idioot.", 0), ("(st.upid)", 1), ("stuupid", 1), ("+rash", 2), ("you m o r o n", 3),
+              ("so 5 t u p i d i d i o t", 1), ("so 5 t u p i d i d i o t", 0)]
+    seg = next(K.segments(pa.array(plain + [x for x, _ in hidden])))
+    row, own = toxicity.Reader(model).features(seg)
+    held = [set(own[row == i].tolist()) for i in range(seg.rows)]
+    whole = [K.span_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x)]))[0] for x in plain]
+    for i, (written, k) in enumerate(hidden, len(plain)):
+        assert whole[k] in held[i], written
+    unhidden = next(K.segments(pa.array(["455 1,000 2024 12.5% 1-800-555 $100", "the cat sat", "1 2 3 4 5"])))
+    row, own = toxicity.Reader(model).features(unhidden)
+    words = [len(x.split()) for x in ("455 1,000 2024 12.5% 1-800-555 $100", "the cat sat", "1 2 3 4 5")]
+    longer = [sum(len(w.rstrip(".,")) > k for k in toxicity.PREFIXES for w in x.split()) for x in ("455 1,000 2024 12.5% 1-800-555 $100", "the cat sat", "1 2 3 4 5")]
+    assert [int((row == i).sum()) for i in range(3)] == [a + b for a, b in zip(words, longer)]  # numbers stand for themselves
+
+
+def test_restored_words_against_all_readings(spark):
+    """The likeliest of all readings, stars and crosses (26 letters each) among them, also in pieces of two characters."""
+    model = toxicity.character_model(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     rng = random.Random(5)
-    for _ in range(30):  # the beam finds what all spellings give
-        word = "".join(rng.choice("ab10") for _ in range(4))
-        options = [[(c, toxicity.KEEP)] if c.isalpha() else [(x, toxicity.SWAP - np.log(len(toxicity.DISGUISES[c]))) for x in toxicity.DISGUISES[c]] for c in word]
+    for n in range(40):
+        word = "".join(rng.choice("ab10*#.-a") for _ in range(4))
         best = None
-        for drops in itertools.product((False, True), repeat=4):
-            if any(d and not (i and word[i] == word[i - 1]) for i, d in enumerate(drops)):
-                continue
-            for pick in itertools.product(*([("", toxicity.DROP)] if d else o for d, o in zip(drops, options))):
-                text = "".join(x for x, _ in pick)
-                codes = [0, 0, *(ord(x) - 96 for x in text), 0]
-                score = sum(s for _, s in pick) + sum(float(model[a, b, c]) for a, b, c in zip(codes, codes[1:], codes[2:]))
-                best = max(best or (score, text), (score, text))
+        options = []
+        for i, c in enumerate(word):
+            own = [(c, toxicity.KEEP)] if c.isalpha() else [(x, toxicity.SWAP - np.log(len(toxicity.DISGUISES[c]))) for x in toxicity.DISGUISES.get(c, "")]
+            if c in toxicity.SEPARATORS or i and c == word[i - 1]:
+                own = own + [("", toxicity.DROP)]
+            elif c == "#":
+                own = own + [("", toxicity.DROP_MARK)]
+            options.append(own)
+        if np.prod([len(x) for x in options]) > 30_000:
+            continue
+        for pick in itertools.product(*options):
+            text = "".join(x for x, _ in pick)
+            codes = [0, 0, *(ord(x) - 96 for x in text), 0]
+            score = sum(s for _, s in pick) + sum(float(model[a, b, c]) for a, b, c in zip(codes, codes[1:], codes[2:]))
+            best = max(best or (score, text), (score, text))
         assert toxicity.restore(word, model) == best[1]
+        whole, toxicity.PIECE = toxicity.PIECE, 2
+        try:
+            assert toxicity.restore(word, model) == best[1]
+        finally:
+            toxicity.PIECE = whole
+
+
+def test_words_side_by_side_equal_one_by_one(spark):
+    model = toxicity.character_model(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeeiot10$@!*#.-%é€日") for _ in range(rng.randint(0, 9))) for _ in range(400)] + ["", "a***", "x" * 300, "a***b", "..."]
+    assert toxicity.restore_all(words, model) == [toxicity.restore(w, model) for w in words]
+    assert toxicity.restore_all([], model) == [] and toxicity.Reader(model).restored(["a.b", "a.b", "1d"]) == toxicity.restore_all(["a.b", "a.b", "1d"], model)
 
 
 def test_toxicity_awkward(spark, awkward, nothing, labels):
