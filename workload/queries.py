@@ -7,7 +7,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinlink.functions import cpf_check_digits, register_sql_functions
-from kinlink.operators import blocking, entities, learning, linkage, lsh, metric, pairing, quality, search, stats
+from kinlink.operators import blocking, curves, entities, learning, linkage, lsh, metric, pairing, quality, search, stats
 from kinlink.operators.ranking import sort_matches, top_n
 from kinlink.operators.scoring import MatchConfig
 from kinlink.plans import match as plan, name_index, refresh, serve, store
@@ -747,6 +747,32 @@ def pair_quality(spark, d):
     return stats.pair_quality(a, b, found, THRESHOLDS, plan.candidate_count(a, b))
 
 
+SCORED_TRUTH = sql.base(sql.matches(sql.BY_PREFIX, 0.5), "z AS (SELECT count(*) AS truth FROM a JOIN b USING (nr_documento))")
+
+
+@query("threshold_curve", SCORED_TRUTH + """,
+c AS (SELECT similarity_score AS threshold, count(*) FILTER (nr_documento_1 = nr_documento_2) AS good, count(*) AS n FROM m GROUP BY 1),
+r AS (SELECT threshold, sum(good) OVER w AS tp, sum(n - good) OVER w AS fp FROM c WINDOW w AS (ORDER BY threshold DESC))
+SELECT threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, (truth - tp)::BIGINT AS fn, round(tp::DOUBLE / (tp + fp), 9) AS precision,
+    round(tp::DOUBLE / nullif(truth, 0), 9) AS recall FROM r, z""")
+def threshold_curve(spark, d):
+    """Precision and recall at every score that occurs."""
+    a, b = both(spark, d)
+    docs = lambda df, n: df.groupBy("nr_documento").agg(F.count("*").alias(n))
+    truth = docs(a, "n1").join(docs(b, "n2"), "nr_documento").agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).alias("n"))
+    return curves.threshold_curve(plan.match(a, b, MatchConfig(threshold=0.5, score_digits=9)), truth)
+
+
+@query("score_calibration", SCORED_TRUTH + """,
+c AS (SELECT floor(similarity_score * 100)::BIGINT AS bin, count(*) FILTER (nr_documento_1 = nr_documento_2) AS good, count(*) AS n FROM m GROUP BY 1),
+s AS (SELECT bin, n, sum(good) OVER w AS g, sum(n) OVER w AS k, sum(good) OVER w - good AS g0, sum(n) OVER w - n AS k0 FROM c WINDOW w AS (ORDER BY bin)),
+low AS (SELECT i.bin, i.n, min((y.g - x.g0)::DOUBLE / (y.k - x.k0)) AS least FROM s i JOIN s x ON x.bin <= i.bin JOIN s y ON y.bin >= i.bin GROUP BY i.bin, i.n, x.bin)
+SELECT bin, n, round(max(least), 9) AS probability FROM low GROUP BY bin, n""")
+def score_calibration(spark, d):
+    """Probability that a pair is true by score in hundredths; the SQL takes the greatest of the least means from either side."""
+    return curves.calibration(plan.match(*both(spark, d), MatchConfig(threshold=0.5, score_digits=9)), digits=2)
+
+
 @query("learned_weights")
 def learned_weights(spark, d):
     """From the pairs of the blocks and random ones."""
