@@ -344,3 +344,19 @@ def test_pipeline_stages(spark):
         before = after
     out = corpus_pipeline.STAGES[-1][1](spark, before, SF)
     assert out.count() == before.count() and out.where("size(ids) = 0").count() == 0
+
+
+def test_pipeline_stages_awkward(spark, awkward, nothing):
+    """What the stages' docstrings say of null ids, null and empty texts, repeated rows and empty tables."""
+    stages = dict(corpus_pipeline.STAGES)
+    for stage in stages.values():
+        assert stage(spark, nothing, SF).count() == 0
+    kept = {name: stages[name](spark, awkward, SF) for name in ("quality_rules", "line_dedup", "ngram_jaccard_join", "mixing")}
+    assert all(df.columns == awkward.columns for df in kept.values())
+    assert kept["quality_rules"].where("text IS NULL OR trim(text) = ''").count() == 0
+    assert kept["line_dedup"].where("doc_id IS NULL").count() == 1 and kept["line_dedup"].where("doc_id IN (1, 2)").count() == 2
+    near = kept["ngram_jaccard_join"]
+    assert near.where("doc_id IS NULL").count() == 1 and near.where("doc_id = 6").count() == 2
+    assert near.where("doc_id = 4").count() == 1 and near.where("doc_id = 5").count() == 0 and near.where("doc_id IN (1, 2, 3)").count() == 3
+    encoded = stages["sentencepiece"](spark, awkward, SF)
+    assert encoded.count() == awkward.count() and encoded.where("doc_id IN (1, 2) AND size(ids) > 0").count() == 0
