@@ -15,107 +15,142 @@ from kinlink.llm.store import written
 SCALE = 1024
 #: Vectors in a block; a cell holds one block of queries and one of candidates.
 BLOCK = 4096
-LEAF, FANOUT = 128, 64
+#: The upper levels of the tree: at most so many centers, chosen from a sample of so many vectors; they decide on work, not on results.
+CENTERS, SAMPLE = 1024, 4096
+LEAF = 16
+_LONG = -2.0**63
 
 
 @dataclass
 class Node:
-    """Points within `radius` of `center`: those of a leaf, or those of the children."""
+    """Points within `radius` of `center`. Each is in one of the children, or is a child of radius 0 itself: one of `singles`."""
 
     center: np.ndarray
     radius: float
     norm: float
     points: np.ndarray
     children: list[Node] = field(default_factory=list)
-    worst: float = -np.inf
+    singles: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+
+    def nodes(self) -> Iterator[Node]:
+        yield self
+        for child in self.children:
+            yield from child.nodes()
+
+
+def _square_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0.0)
 
 
 def cover_tree(x: np.ndarray, points: np.ndarray | None = None, center: int | None = None) -> Node:
-    """A cover tree over rows of x. Children's centers are more than half the radius apart and cover their points at that distance.
+    """A cover tree over rows of x.
 
-    Where the points are too far apart for FANOUT children to cover them, those left over, and children of a few
-    points, are bundled in a leaf around the node's own center.
+    Children's centers are more than half the node's radius apart and cover their points at that distance. A child of
+    one point has radius 0. Nodes of up to LEAF points, or of one place, are leaves: all their points are singles.
     """
     points = np.arange(len(x)) if points is None else points
     center = int(points[0]) if center is None else center
-    away = np.sqrt(((x[points] - x[center]) ** 2).sum(1))
-    node = Node(x[center], float(away.max(initial=0.0)), float(np.sqrt((x[center] ** 2).sum())), points)
+    norm = float(np.sqrt((x[center] ** 2).sum()))
+    node = Node(x[center], float(np.sqrt(((x[points] - x[center]) ** 2).sum(1).max())), norm, points)
     if len(points) <= LEAF or node.radius == 0.0:
+        node.singles = points
         return node
-    left, reach, own, loose = points, away, center, []
-    for _ in range(FANOUT):
-        near = reach <= node.radius / 2
-        if near.sum() > LEAF // 8:
-            node.children.append(cover_tree(x, left[near], own))
-        else:
-            loose.append(left[near])
-        left = left[~near]
-        if not len(left):
-            break
-        own = int(left[0])
-        reach = np.sqrt(((x[left] - x[own]) ** 2).sum(1))
-    loose = np.concatenate([*loose, left])
-    if len(loose) and node.children:
-        radius = float(np.sqrt(((x[loose] - x[center]) ** 2).sum(1)).max())
-        node.children.append(Node(node.center, radius, node.norm, loose))
+    left, limit, singles = np.concatenate([[center], points[points != center]]), node.radius ** 2 / 4, []
+    while len(left):
+        first = left[:64]
+        near = _square_distances(x[first], x[left]) <= limit
+        near[np.arange(len(first)), np.arange(len(first))] = True
+        chosen: list[int] = []
+        for i in range(len(first)):
+            if not near[chosen, i].any():
+                chosen.append(i)
+        owner = np.where(near[chosen].any(0), near[chosen].argmax(0), -1)
+        sizes = np.bincount(owner[owner >= 0], minlength=len(chosen))
+        singles += [int(left[i]) for i, size in zip(chosen, sizes) if size == 1]
+        node.children += [cover_tree(x, left[owner == n], int(left[i])) for n, (i, size) in enumerate(zip(chosen, sizes)) if size > 1]
+        left = left[owner < 0]
+    node.singles = np.array(singles, np.int64)
     return node
 
 
-def dual_search(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+def dual_search(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int,
+                least: np.ndarray | None = None, tally: dict[str, int] | None = None) -> list[tuple[int, int, int]]:
     """(query, candidate, score) of the k best of each query among the candidates, ties to smaller ids, without itself.
 
     Rows are of integers held in float64 whose products stay exact. A pair of nodes is left out when no product of
     its points can reach the least k-th score of the node's queries:
     q.c <= center.center + r_c |center_q| + r_q |center_c| + r_q r_c.
+    `least` holds scores below which nothing is wanted of a query. The tally counts pairs of vectors that are scored, and pairs of
+    nodes that are left out.
     """
     best: list[list[tuple[int, int]]] = [[] for _ in range(len(queries))]
-    kth = np.full(len(queries), -np.inf)
+    kth = np.full(len(queries), -np.inf) if least is None else least.astype(np.float64)
+    lengths = np.sqrt((candidates ** 2).sum(1))
+    tally = {} if tally is None else tally
+    tally.update({x: tally.get(x, 0) for x in ("scored", "pruned")})
 
-    def bound(q: Node, c: Node) -> float:
-        value = float(q.center @ c.center) + c.radius * q.norm + q.radius * c.norm + q.radius * c.radius
-        return value + 1e-9 * abs(value) + 1e-6
+    def bounds(q: Node, centers: np.ndarray, radii: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        value = centers @ q.center + radii * q.norm + q.radius * norms + q.radius * radii
+        return value + 1e-9 * np.abs(value) + 1e-6
 
-    def leaves(q: Node, c: Node) -> None:
-        scores = queries[q.points] @ candidates[c.points].T
-        least = kth[q.points]
+    def score(rows: np.ndarray, columns: np.ndarray) -> None:
+        tally["scored"] += len(rows) * len(columns)
+        scores = queries[rows] @ candidates[columns].T
+        floor = kth[rows]
         if scores.shape[1] > k + 1:  # no more than k of these, but for ties and the query itself, can matter
-            least = np.maximum(least, np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)])
-        at, hits = np.nonzero(scores >= least[:, None])
-        for i, row, j in zip(q.points[at].tolist(), at.tolist(), hits.tolist()):
-            other, score = int(ids[c.points[j]]), int(scores[row, j])
-            if other == query_ids[i] or score < kth[i]:
+            floor = np.maximum(floor, np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)])
+        at, hits = np.nonzero(scores >= floor[:, None])
+        for i, row, j in zip(rows[at].tolist(), at.tolist(), hits.tolist()):
+            other, value = int(ids[columns[j]]), int(scores[row, j])
+            if other == query_ids[i] or value < kth[i]:
                 continue
-            entry = (score, -other)
+            entry = (value, -other)
             if len(best[i]) < k:
                 heapq.heappush(best[i], entry)
             elif entry > best[i][0]:
                 heapq.heapreplace(best[i], entry)
             if len(best[i]) == k:
-                kth[i] = best[i][0][0]
-        q.worst = float(kth[q.points].min())
-
-    def visit(q: Node, c: Node, most: float) -> None:
-        if most < q.worst:
-            return
-        if not q.children and not c.children:
-            leaves(q, c)
-        elif c.children and (not q.children or c.radius >= q.radius):
-            for value, _, child in sorted(((bound(q, x), i, x) for i, x in enumerate(c.children)), key=lambda e: -e[0]):
-                visit(q, child, value)
-        else:
+                kth[i] = max(kth[i], best[i][0][0])
+
+    def visit_singles(q: Node, own: np.ndarray) -> None:
+        """The query node with candidates that are nodes of radius 0."""
+        if len(own):
+            reach = bounds(q, candidates[own], np.zeros(1), lengths[own]) >= kth[q.points].min()
+            tally["pruned"] += int((~reach).sum())
+            own = own[reach]
+        if len(own):
+            if len(q.singles):
+                score(q.singles, own)
             for child in q.children:
-                visit(child, c, bound(child, c))
-        if q.children:
-            q.worst = min(x.worst for x in q.children)
+                visit_singles(child, own)
+
+    def visit(q: Node, c: Node) -> None:
+        if not c.children:
+            visit_singles(q, c.singles)
+        elif q.radius > c.radius and (q.children or len(q.singles) > 1):
+            parts = q.children + [Node(queries[i], 0.0, float(np.sqrt((queries[i] ** 2).sum())), np.array([i]), [], np.array([i])) for i in q.singles]
+            for part in parts:
+                if bounds(part, c.center[None], np.array([c.radius]), np.array([c.norm]))[0] >= kth[part.points].min():
+                    visit(part, c)
+                else:
+                    tally["pruned"] += 1
+        else:
+            radii, norms = np.array([x.radius for x in c.children]), np.array([x.norm for x in c.children])
+            value = bounds(q, np.array([x.center for x in c.children]), radii, norms)
+            for i in np.argsort(-value, kind="stable").tolist():
+                if value[i] >= kth[q.points].min():
+                    visit(q, c.children[i])
+                else:
+                    tally["pruned"] += 1
+            visit_singles(q, c.singles)
 
     if len(queries) and len(candidates):
-        q, c = cover_tree(queries), cover_tree(candidates)
-        visit(q, c, bound(q, c))
-    return [(int(query_ids[i]), -other, score) for i, own in enumerate(best) for score, other in own]
+        visit(cover_tree(queries), cover_tree(candidates))
+    return [(int(query_ids[i]), -other, value) for i, own in enumerate(best) for value, other in own]
 
 
-def _matrix(lists: list[list[int]]) -> np.ndarray:
-    width = max(map(len, lists), default=0)
+def _matrix(lists: list[list[int]], width: int = 0) -> np.ndarray:
+    width = max([width, *map(len, lists)])
     return np.array([x + [0] * (width - len(x)) for x in lists], np.float64).reshape(len(lists), width)
 
 
@@ -132,50 +167,145 @@ def scaled(vector: Column) -> Column:
     return F.when(vector.isNotNull() & F.coalesce(finite, F.lit(False)), number)
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k rows with the largest integer inner products with each query, itself excluded.
+def upper_centers(sample: list[list[int]], wanted: int) -> np.ndarray:
+    """Centers of the upper levels: levels of half the radius each, until there are `wanted`; farthest from the chosen ones first."""
+    x = _matrix(sample)
+    chosen, away = [0], ((x - x[0]) ** 2).sum(1)
+    while len(chosen) < wanted and away.max() > 0:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, ((x - x[chosen[-1]]) ** 2).sum(1))
+    return x[chosen]
 
-    vectors has vec_id and embedding. Components become floor(1024 x). Vectors that are null or hold null or
-    non-finite components, and null ids, take no part; shorter vectors are filled with zeros; rows repeated with an
-    id are candidates once (the largest vector in array order). Ties go to the smaller vec_id.
-    All vectors are dealt into blocks by a hash of the id; every block of queries meets every block of candidates in
-    a cell of its own, searched by a dual tree, and the best k of each cell are merged. An empty table gives no rows.
-    """
-    rows = (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled(F.col("embedding")).alias("v"))
-            .where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id").agg(F.max("v").alias("v")))
-    rows = written(rows.withColumn("is_query", is_query), "vectors")
-    n, n_queries = rows.count(), rows.where("is_query").count()
-    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // block))
-    each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    place = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
-    index = rows.select(F.lit(False).alias("asks"), "vec_id", "v", each(query_blocks).alias("i"), place(blocks).alias("j"))
-    asked = rows.where("is_query").select(F.lit(True).alias("asks"), "vec_id", "v", place(query_blocks).alias("i"), each(blocks).alias("j"))
 
-    def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, ([], [], [], [])
+def _fit(lists: list[list[int]], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors and the centers, both filled with zeros to one width."""
+    x = _matrix(lists, centers.shape[1])
+    return x, np.pad(centers, ((0, 0), (0, x.shape[1] - centers.shape[1])))
+
+
+def _nearest(centers: np.ndarray):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
+                x, c = _fit(part.column("v").to_pylist(), centers)
+                place = _square_distances(x, c).argmin(1) if len(x) else np.zeros(0, np.int64)
+                away = np.sqrt(((x - c[place]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(i) for i in range(3)), pa.array(place, pa.int32()), pa.array(away)], ["vec_id", "v", "is_query", "c", "away"])
+    return task
+
+
+def _other_centers(centers: np.ndarray, radii: np.ndarray):
+    """Each query with the centers, but for its own, whose points may reach its k-th score."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                x, c = _fit(part.column("v").to_pylist(), centers)
+                least = np.array([_LONG if s is None else float(s) for s in part.column("least").to_pylist()])
+                norms = np.sqrt((x ** 2).sum(1))
+                reach = norms[:, None] * radii[None]
+                value = x @ c.T + reach
+                value = np.maximum(value + 1e-9 * (norms[:, None] * np.sqrt((c ** 2).sum(1))[None] + reach) + 1e-6, _LONG)
+                wanted = value >= least[:, None]
+                wanted[np.arange(len(x)), part.column("c").to_numpy()] = False
+                at, other = np.nonzero(wanted)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(name).take(pa.array(at)) for name in ("vec_id", "v", "least", "c", "i")), pa.array(other, pa.int32())],
+                    ["vec_id", "v", "least", "c", "i", "other"])
+    return task
+
+
+def _search_cells(k: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, ([], [], [], [], [])
 
         def search() -> pa.RecordBatch:
-            query_ids, queries, ids, candidates = held
+            query_ids, queries, ids, candidates, least = held
             m = _matrix(queries + candidates)
             if np.abs(m).max(initial=0) ** 2 * max(1, m.shape[1]) < 2**53:
-                found = dual_search(m[:len(queries)], m[len(queries):], np.array(query_ids, np.int64), np.array(ids, np.int64), k)
+                floor = np.array([-np.inf if s is None else float(s) for s in least])
+                found = dual_search(m[:len(queries)], m[len(queries):], np.array(query_ids, np.int64), np.array(ids, np.int64), k, floor)
             else:
                 found = [hit for own, q in zip(query_ids, queries) for hit in _plain(own, q, ids, candidates, k)]
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], ["query_id", "vec_id", "score"])
 
         for batch in batches:
-            for i, j, asks, own, v in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                if (i, j) != key and key is not None:
+            for *cell, asks, own, v, least in zip(*(batch.column(c).to_pylist() for c in range(8))):
+                if cell != key and key is not None:
                     yield search()
-                    held = ([], [], [], [])
-                key = (i, j)
+                    held = ([], [], [], [], [])
+                key = cell
                 held[0 if asks else 2].append(own)
                 held[1 if asks else 3].append(v)
+                if asks:
+                    held[4].append(least)
         if key is not None:
             yield search()
+    return task
+
+
+_CELL = ["c", "i", "other", "j"]
+
 
-    found = (index.union(asked).select("i", "j", "asks", "vec_id", "v").repartition("i", "j").sortWithinPartitions("i", "j")
-             .mapInArrow(cell, "query_id bigint, vec_id bigint, score bigint"))
+def _in_cells(asked: DataFrame, index: DataFrame, cells: int, k: int) -> DataFrame:
+    """The k best of each query in each cell: (query_id, vec_id, score)."""
+    rows = asked.select(*_CELL, F.lit(True).alias("asks"), "vec_id", "v", "least").union(
+        index.select(*_CELL, F.lit(False), "vec_id", "v", F.lit(None).cast("bigint")))
+    return (rows.repartition(max(1, min(cells, 10_000)), *_CELL).sortWithinPartitions(*_CELL)
+            .mapInArrow(_search_cells(k), "query_id bigint, vec_id bigint, score bigint"))
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, tally: dict[str, int] | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k rows with the largest integer inner products with each query, itself excluded.
+
+    vectors has vec_id and embedding. Components become floor(1024 x). Vectors that are null or hold null or
+    non-finite components, and null ids, take no part; shorter vectors are filled with zeros; rows repeated with an
+    id are candidates once (the largest vector in array order). Ties go to the smaller vec_id. An empty table gives no rows.
+
+    Vectors go to the nearest center of the tree's upper levels; those of a center are cut into blocks by a hash of
+    the id. A query is first searched in its own center's blocks. Its k-th score there rules out other centers by
+    their radii, before anything is shuffled to them. A cell, a block of queries with a block of candidates, is searched
+    by a dual tree, and the best k of all cells are merged. The tally counts `reached` (query, other center) pairs of `possible` ones.
+    """
+    rows = (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled(F.col("embedding")).alias("v"))
+            .where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id").agg(F.max("v").alias("v")))
+    rows = written(rows.withColumn("is_query", F.coalesce(is_query, F.lit(False))), "vectors")
+    spark, n = rows.sparkSession, rows.count()
+    sample = [r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(SAMPLE).collect()]  # bounded
+    centers = upper_centers(sample or [[0]], min(CENTERS, -(-n // block)))
+    placed = written(rows.mapInArrow(_nearest(centers), "vec_id bigint, v array<bigint>, is_query boolean, c int, away double"), "vectors-placed")
+    stats = placed.groupBy("c").agg(F.count("*").alias("n"), F.count_if("is_query").alias("asking"), F.max("away").alias("radius")).collect()  # CENTERS rows
+    blocks, query_blocks, radii = np.ones(len(centers), int), np.zeros(len(centers), int), np.full(len(centers), -np.inf)
+    for r in stats:
+        blocks[r["c"]], query_blocks[r["c"]], radii[r["c"]] = -(-r["n"] // block), -(-r["asking"] // block), r["radius"]
+    layout = F.broadcast(spark.createDataFrame(
+        [(i, int(b), int(q)) for i, (b, q) in enumerate(zip(blocks, query_blocks))], "c int, blocks int, query_blocks int"))  # CENTERS rows
+    slot = lambda count: F.pmod(F.xxhash64("vec_id"), F.greatest(F.col(count), F.lit(1))).cast("int")
+    each = lambda count: F.explode(F.expr(f"sequence(0, {count} - 1)"))
+
+    placed = placed.join(layout, "c").withColumn("j", slot("blocks")).withColumn("i", slot("query_blocks"))
+    none = F.lit(None).cast("bigint").alias("least")
+    asked = placed.where("is_query").select("c", "i", F.col("c").alias("other"), each("blocks").alias("j"), "vec_id", "v", none)
+    index = placed.where("query_blocks > 0").select("c", each("query_blocks").alias("i"), F.col("c").alias("other"), "j", "vec_id", "v")
+    own = _best(_in_cells(asked, index, int((blocks * query_blocks).sum()), k), k)
+    if len(centers) == 1:
+        return own.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    own = written(own.select("query_id", "vec_id", "score"), "vectors-own")
+    least = own.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") == k, F.min("score")).alias("least"))
+    open_queries = placed.where("is_query").join(least, "vec_id", "left").select("vec_id", "v", "least", "c", "i")
+    reached = written(open_queries.mapInArrow(_other_centers(centers, radii), "vec_id bigint, v array<bigint>, least bigint, c int, i int, other int"), "vectors-reached")
+    pairs = written(reached.select("c", "i", "other").distinct()
+                    .join(layout.select(F.col("c").alias("other"), "blocks"), "other").select("c", "i", "other", each("blocks").alias("j")), "vectors-cells")
+    if tally is not None:
+        tally.update(reached=reached.count(), possible=(len(centers) - 1) * placed.where("is_query").count())
+    asked = (reached.join(layout.select(F.col("c").alias("other"), "blocks"), "other")
+             .select("c", "i", "other", each("blocks").alias("j"), "vec_id", "v", "least"))
+    index = placed.select(F.col("c").alias("other"), "j", "vec_id", "v").join(pairs, ["other", "j"]).select(*_CELL, "vec_id", "v")
+    found = own.union(_in_cells(asked, index, pairs.count(), k))
+    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -185,6 +185,61 @@ def test_top_k_against_numpy(spark):
     assert topk.top_k(few.where("false"), F.lit(True), 5).count() == 0
 
 
+def plain_top(m, asking, k):
+    want = set()
+    for q in asking:
+        score = m @ m[q]
+        order = [i for i in np.lexsort((np.arange(len(m)), -score)) if i != q][:k]
+        want |= {(q, n + 1, int(i), int(score[i])) for n, i in enumerate(order)}
+    return want
+
+
+def clustered(clusters, each, width, seed=4):
+    rng = np.random.default_rng(seed)
+    return np.floor((rng.normal(size=(clusters, 1, width)) * 3 + rng.normal(size=(clusters, each, width)) * 0.02).reshape(-1, width) * 1024)
+
+
+def test_cover_tree_covers_its_points_and_keeps_centers_apart():
+    rng = np.random.default_rng(6)
+    for x in (clustered(30, 20, 8), np.floor(rng.normal(size=(500, 64)) * 1024), np.zeros((40, 3)), np.zeros((5, 0))):
+        tree = topk.cover_tree(x)
+        assert sorted(np.concatenate([node.singles for node in tree.nodes()]).tolist()) == list(range(len(x)))
+        for node in tree.nodes():
+            assert np.sqrt(((x[node.points] - node.center) ** 2).sum(1)).max() <= node.radius + 1e-6
+            assert sorted(np.concatenate([node.singles, *(c.points for c in node.children)]).tolist()) == sorted(node.points.tolist())
+            if node.children:
+                centers = np.array([c.center for c in node.children] + [x[i] for i in node.singles])
+                away = np.sqrt(topk._square_distances(centers, centers)) + np.eye(len(centers)) * 1e18
+                assert away.min() > node.radius / 2 - 1e-6 and all(c.radius <= node.radius / 2 + 1e-6 for c in node.children)
+        assert len(list(tree.nodes())) > 1 or len(x) <= topk.LEAF or tree.radius == 0 or len(tree.singles) == len(x)
+
+
+def test_dual_search_leaves_pairs_of_nodes_out():
+    x, tally = clustered(40, 50, 12), {}
+    asking = np.arange(0, len(x), 20)
+    found = topk.dual_search(x[asking], x, asking, np.arange(len(x)), 10, tally=tally)
+    assert {(q, i, s) for q, i, s in found} == {(q, i, s) for q, _, i, s in plain_top(x, asking.tolist(), 10)}
+    assert tally["pruned"] > 0 and tally["scored"] < 0.2 * len(asking) * len(x)
+
+
+def test_top_k_rules_out_centers_before_the_shuffle(spark):
+    x, tally = clustered(24, 60, 10, seed=8), {}
+    rows = [(i, (v / 1024).tolist()) for i, v in enumerate(x)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.expr("vec_id % 20 = 0"), 10, block=64, tally=tally)
+    assert {tuple(r) for r in got.collect()} == plain_top(x, range(0, len(x), 20), 10)
+    assert 0 < tally["reached"] < 0.5 * tally["possible"]
+
+
+def test_top_k_of_huge_short_and_equal_vectors_over_several_centers(spark):
+    rng = np.random.default_rng(9)
+    lists = [[float(v) for v in rng.normal(size=rng.integers(0, 5)) * 10.0 ** rng.integers(0, 16)] for _ in range(150)] + [[1.0, 2.0]] * 50
+    got = topk.top_k(spark.createDataFrame(list(enumerate(lists)), "vec_id long, embedding array<double>"), F.expr("vec_id % 10 = 0"), 4, block=16)
+    ints = [[int(np.clip(np.floor(v * 1024), -2.0**63, 2**63 - 1)) for v in x] for x in lists]
+    dot = lambda a, b: max(-2**63, min(2**63 - 1, sum(p * q for p, q in zip(a, b))))
+    want = {(q, n + 1, i, -s) for q in range(0, 200, 10) for n, (s, i) in enumerate(sorted((-dot(ints[q], ints[i]), i) for i in range(200) if i != q)[:4])}
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def test_chunks_cover_texts_and_resist_shifts(spark):
     rng = np.random.default_rng(2)
     passage = "".join(chr(97 + c) for c in rng.integers(0, 26, 600))
