@@ -14,8 +14,8 @@ from kinlink.llm.store import written
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SEEDS, CONFIDENCE = 4, 4, 0.8
-#: Hash positions of the fixed-size filter of candidate patterns that the second pass over the texts reads.
-FILTER_BITS = 22
+#: Bits of a hash filter for each value in it, and the bounds of its size as powers of two (32 MB). Joins after it are exact.
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 16, 28
 
 # The patterns that define the base entities.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -27,6 +27,22 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _OPENING, _CLOSING = "\"'([{<", "\"')]}>.,;:!?"
+#: Number-like words are of digits and these; a mark after the last word of a run is no part of it.
+_JOINING, _ENDING = "+().-/", ",;:!?\"'"
+_NUMBER = r"[+()./-]*[0-9][0-9+()./-]*"
+_RUN = re.compile(rf"(?<![^\x20\x09-\x0D]){_NUMBER}(?:[\x20\x09-\x0D]+{_NUMBER})+(?=[,;:!?\"']*(?:[\x20\x09-\x0D]|$))")
+
+
+def _marks(chars: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars.encode())] = True
+    return out
+
+
+_OPEN, _CLOSE, _END, _LIKE = _marks(_OPENING), _marks(_CLOSING), _marks(_ENDING), _marks(_JOINING) | _DIGIT
+#: What words of a language, and short numbers, are made of.
+_PLAIN = _DIGIT | _marks("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-'")
+_PLAIN[128:] = True
 
 
 def luhn(digits: str) -> bool:
@@ -107,8 +123,8 @@ def _patterns(text: str, start: int, end: int) -> list[int]:
 
 
 def _identifiers(text: str, taken: list[tuple[int, str, int]]) -> list[tuple[int, int]]:
-    """Words with a digit outside the base entities, five characters or more without marks around them."""
-    out = []
+    """Words with a digit outside the base entities and runs of numbers, five characters or more without marks around them."""
+    out, taken = [], taken + [(m.start(), "", m.end()) for m in _RUN.finditer(text)]
     for m in re.finditer(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", text):
         a, b = m.span()
         label = max(m.group().rfind("="), m.group().rfind(":"))
@@ -153,56 +169,158 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", "text_hash", "base", "places"])
 
 
-def _context_counts(allowed: np.ndarray):
-    """Counts of the patterns around every word of every text whose hash is in the filter."""
+class HashFilter:
+    """A set of 64-bit hashes as three bits each; holds all of its values, and few others."""
+
+    def __init__(self, bits: int, cells: np.ndarray):
+        self.bits, self.cells = bits, cells
+
+    @classmethod
+    def of(cls, values: DataFrame) -> HashFilter:
+        """Of one column of different longs. Spark sets the bits; the driver puts together at most 2^MOST_BITS of them."""
+        name, n = values.columns[0], values.count()
+        bits = min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * n).bit_length()))
+        places = F.explode(F.array(*(F.expr(f"(({e}) & {(1 << bits) - 1}) + 1") for e in (f"shiftrightunsigned({name}, {64 - bits})", f"shiftrightunsigned({name}, 18)", name))))
+        rows = (values.select(places.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("cells")).collect())
+        cells = np.zeros(max(1, (1 << bits) >> 15) * 4096, np.uint8)
+        for r in rows:
+            cells[(r["bucket"] - 1) * 4096:r["bucket"] * 4096] = np.frombuffer(r["cells"], np.uint8)
+        return cls(bits, cells)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        mask, found = K.U((1 << self.bits) - 1), np.ones(len(hashes), bool)
+        for shift in (64 - self.bits, 18, 0):
+            at = ((hashes >> K.U(shift)) & mask).astype(np.int64)
+            found &= (self.cells[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        return found
+
+
+def _stripped(data: np.ndarray, start: np.ndarray, end: np.ndarray, before: np.ndarray | None, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without the marks around them."""
+    start, end = start.copy(), end.copy()
+    while before is not None and (cut := (start < end) & before[data[np.minimum(start, len(data) - 1)]]).any():
+        start += cut
+    while (cut := (start < end) & after[data[end - 1]]).any():
+        end -= cut
+    return start, end
+
+
+PLACES = "doc_id bigint, text_hash bigint, start bigint, end bigint, instance string, word bigint, free boolean, patterns array<bigint>"
+
+
+def _places(allowed: HashFilter):
+    """Whatever stands at a place of a pattern in the filter: a word of any characters, or number-like words side by side.
+
+    `free` is false for what holds a base entity or an identifier that is a place already; `word` is the lower-cased hash of a single
+    word of letters, digits, hyphens and apostrophes only, which other places may use as a common word.
+    """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for seg in K.segments(batch.column(0)):
-                seg.data = K.LOWER[seg.data]
+            ids = batch.column(0)
+            for seg in K.segments(batch.column(1)):
                 start, end, row = K.words(seg)
-                h = K.span_hashes(seg.data, start, end)
-                apart = lambda n: row[n:] == row[:-n]
-                found = np.concatenate([
-                    _pattern(1, h[:-2], h[2:])[apart(2)], _pattern(2, h[:-2], h[1:-1])[apart(2)], _pattern(3, h[:-3], h[1:-2], h[2:-1])[apart(3)]])
-                own, n = np.unique(found[allowed[(found >> K.U(64 - FILTER_BITS)).astype(np.int64)]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n, pa.int64())], ["pattern", "n"])
+                if not len(start):
+                    continue
+                lower, n = K.LOWER[seg.data], len(start)
+                h = K.span_hashes(lower, start, end)
+                _, bare = _stripped(seg.data, start, end, None, _END)
+                likes, digits, plain = (np.concatenate([[0], np.cumsum(x[seg.data])]) for x in (_LIKE, _DIGIT, _PLAIN))
+                number = (likes[bare] - likes[start] == bare - start) & (digits[bare] > digits[start])
+                goes_on = np.zeros(n, bool)
+                goes_on[1:] = number[1:] & number[:-1] & (row[1:] == row[:-1]) & (bare[:-1] == end[:-1])
+                first = np.flatnonzero(~goes_on)
+                last = np.concatenate([first[1:], [n]]) - 1
+                near = lambda at: (at >= 0) & (at < n) & (row[np.clip(at, 0, n - 1)] == row[first])
+                word = lambda at: h[np.clip(at, 0, n - 1)]
+                kinds = [(_pattern(2, word(first - 2), word(first - 1)), near(first - 2)),
+                         (_pattern(3, word(first - 3), word(first - 2), word(first - 1)), near(first - 3)),
+                         (_pattern(1, word(first - 1), word(last + 1)), near(first - 1) & near(last + 1))]
+                hits = [there & allowed.holds(own) for own, there in kinds]
+                at = np.flatnonzero(np.logical_or.reduce(hits))
+                if not len(at):
+                    continue
+                a, b = start[first[at]], bare[last[at]]
+                single = first[at] == last[at]
+                a[single], b[single] = _stripped(seg.data, start[first[at]][single], end[last[at]][single], _OPEN, _CLOSE)
+                own_word, points, raw = K.span_hashes(lower, a, b).view(np.int64), K.char_counts(seg.data), seg.data.tobytes()
+                hashes = K.span_hashes(seg.data, seg.offsets[:-1], seg.offsets[1:]).view(np.int64)
+                single &= plain[b] - plain[a] == b - a
+                known, rows = (-1, [], []), []
+                for i, x, y, common, own in zip(at.tolist(), a.tolist(), b.tolist(), single.tolist(), own_word.tolist()):
+                    r = int(row[first[i]])
+                    if known[0] != r:
+                        text = seg.text(r)
+                        base = base_spans(text)
+                        known = (r, [(p, q) for p, _, q in base], _identifiers(text, base))
+                    p, q = int(points[x] - points[seg.offsets[r]]), int(points[y] - points[seg.offsets[r]])
+                    free = x < y and not any(p < v and u < q for u, v in known[1] + known[2])
+                    rows.append((ids[seg.first + r].as_py(), int(hashes[r]), p, q, raw[x:y].decode("utf-8", "replace"), own if common else None, free,
+                                 [int(k.view(np.int64)[i]) for (k, _), hit in zip(kinds, hits) if hit[i]]))
+                types = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                                 ["doc_id", "text_hash", "start", "end", "instance", "word", "free", "patterns"])
+    return task
+
+
+def _word_counts(allowed: HashFilter):
+    """How often the words in the filter stand anywhere."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for seg in K.segments(batch.column(0)):
+                start, end, _ = K.words(seg)
+                if len(start):
+                    h = K.span_hashes(K.LOWER[seg.data], *_stripped(seg.data, start, end, _OPEN, _CLOSE))
+                    own, n = np.unique(h[allowed.holds(h)], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
     return task
 
 
 def discovered(docs: DataFrame, extracted: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, confidence: float = CONFIDENCE) -> DataFrame:
     """(doc_id, text_hash, start, end, kind): identifiers that confident patterns point at.
 
-    A pattern is a candidate for a kind if at least `min_seeds` different seeds of it stand in it. Its score is the
-    mass of its instances over all its occurrences, whatever word stands there. Seeds have mass 1; another
-    identifier's mass is one minus the product of one minus the scores of its patterns. Scores and masses are
-    computed in turn, `rounds` times, as joins and sums over the pattern-instance graph.
+    A pattern is a candidate for a kind if at least `min_seeds` different seeds of it stand in it. Whatever stands at
+    its place is an instance. Its score is the mass of its instances over all its occurrences. Seeds have mass 1; another
+    instance's mass is one minus the product of one minus the scores of its patterns, times the share of its
+    occurrences in the corpus that stand in candidate patterns: what also stands elsewhere, as common words do, is no
+    identifier. Words with a mark inside, longer ones with a digit, and runs of numbers have a share of 1. Scores and masses are computed in turn,
+    `rounds` times, as joins and sums over the pattern-instance graph.
     """
-    spots = extracted.select("doc_id", "text_hash", F.explode("places").alias("p")).select("doc_id", "text_hash", "p.*")
-    edges = spots.select(F.explode("patterns").alias("pattern"), "instance", "kind")
-    candidates = written(edges.where("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("seeds"))
-                         .where(F.col("seeds") >= min_seeds), "pii-patterns")
+    seeds = extracted.select("doc_id", "text_hash", F.explode("places").alias("p")).select("doc_id", "text_hash", "p.*")
+    candidates = written(seeds.where("kind IS NOT NULL").select(F.explode("patterns").alias("pattern"), "instance", "kind")
+                         .groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("seeds"))
+                         .where(F.col("seeds") >= min_seeds).select("pattern", "kind"), "pii-patterns")
     if candidates.isEmpty():
-        return spots.where("false").select("doc_id", "text_hash", "start", "end", "kind")
-    allowed = np.zeros(1 << FILTER_BITS, bool)
-    cell = F.expr(f"shiftrightunsigned(pattern, {64 - FILTER_BITS})").alias("cell")
-    allowed[[r["cell"] for r in candidates.select(cell).distinct().collect()]] = True  # at most 2^FILTER_BITS numbers
-    everywhere = (docs.select("text").mapInArrow(_context_counts(allowed), "pattern bigint, n bigint")
-                  .groupBy("pattern").agg(F.sum("n").alias("occurrences")))
+        return seeds.where("false").select("doc_id", "text_hash", "start", "end", "kind")
+    names = candidates.select("pattern").distinct()
+    there = written(docs.select("doc_id", "text").mapInArrow(_places(HashFilter.of(names)), PLACES)
+                    .withColumn("pattern", F.explode("patterns")).drop("patterns").join(names, "pattern"), "pii-places")
+    everywhere = there.groupBy("pattern").agg(F.count("*").alias("occurrences"))
     patterns = written(candidates.join(everywhere, "pattern", "left").select("pattern", "kind", F.coalesce("occurrences", F.lit(0)).alias("occurrences")), "pii-counts")
-    graph = written(edges.withColumnRenamed("kind", "seed_kind").join(patterns, "pattern").groupBy("pattern", "kind", "instance")
+
+    columns = ["doc_id", "text_hash", "start", "end", "instance", "word", "kind", "pattern"]
+    spots = (seeds.withColumn("pattern", F.explode("patterns")).join(names, "pattern").withColumn("word", F.lit(None).cast("bigint")).select(columns)
+             .union(there.where("free").withColumn("kind", F.lit(None).cast("string")).select(columns)))
+    spots = written(spots, "pii-spots")
+    words = written(spots.where("word IS NOT NULL").groupBy("word").agg(F.count_distinct("doc_id", "text_hash", "start").alias("here")), "pii-words")
+    counted = docs.select("text").mapInArrow(_word_counts(HashFilter.of(words.select("word"))), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    shares = words.join(counted, "word").select("word", F.least(F.lit(1.0), F.col("here") / F.col("n")).alias("share"))
+    spots = spots.join(shares, "word", "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
+
+    graph = written(spots.withColumnRenamed("kind", "seed_kind").join(patterns, "pattern").groupBy("pattern", "kind", "instance")
                     .agg(F.count("*").alias("n"), F.max(F.expr("CASE WHEN seed_kind = kind THEN 1.0D ELSE 0.0D END")).alias("seed"),
-                         F.first("occurrences").alias("occurrences")), "pii-graph")
+                         F.first("occurrences").alias("occurrences"), F.min("share").alias("share")), "pii-graph")
     mass = graph.groupBy("instance", "kind").agg(F.max("seed").alias("mass"))
     scores = None
     for _ in range(rounds):
         scores = written(graph.join(mass, ["instance", "kind"]).groupBy("pattern", "kind")
                          .agg((F.sum(F.col("n") * F.col("mass")) / F.greatest(F.sum("n"), F.max("occurrences"))).alias("score")), "pii-scores")
         mass = (graph.join(scores, ["pattern", "kind"]).groupBy("instance", "kind")
-                .agg(F.greatest(F.max("seed"), 1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("score")))))).alias("mass")))
+                .agg(F.greatest(F.max("seed"), F.min("share") * (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("score"))))))).alias("mass")))
         mass = written(mass, "pii-masses")
     good = scores.where(F.col("score") >= confidence).select("pattern", F.col("kind").alias("found_kind"))
     sure = mass.where(F.col("mass") >= confidence).select("instance", F.col("kind").alias("found_kind"))
-    return (spots.where("kind IS NULL").select("doc_id", "text_hash", "start", "end", "instance", F.explode("patterns").alias("pattern"))
+    return (spots.where("kind IS NULL").select("doc_id", "text_hash", "start", "end", "instance", "pattern")
             .join(good, "pattern").join(sure, ["instance", "found_kind"])
             .groupBy("doc_id", "text_hash", "start", "end").agg(F.min("found_kind").alias("kind")))
 
@@ -211,7 +329,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, base, found) for each row of docs: spans (kind, start, end) of base entities and of discovered ones.
 
     Base entities are the leftmost non-overlapping matches of each kind that pass its check. Discovered ones are
-    words with a digit that stand in patterns learnt from the base entities; their kinds are found_email and so on.
+    words of any characters, or number-like words side by side, that stand in patterns learnt from the base entities; their
+    kinds are found_email and so on.
     Code points, end exclusive. Null and empty texts have none. A null doc_id stays null; repeated rows get the same
     spans; other columns are not read; an empty table gives no rows.
     """

@@ -76,6 +76,37 @@ def test_contexts_discover_identifiers(spark):
     assert got[50] == "found_phone:17:25" and got[51] == "" and got[52] == "" and got[0].startswith("phone:")
 
 
+def test_contexts_discover_words_and_numbers_of_any_form(spark):
+    rng = random.Random(4)
+    word = lambda n=5: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = [(i, f"{word()} {word()} please mail me at {word()}@{word()}.com, {word()}") for i in range(40)]
+    rows += [(100 + i, f"{word()} the number is +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} and {word()}") for i in range(40)]
+    texts = {50: "é please mail me at jane(at)example.com. now", 51: "please mail me at admin@localhost today", 52: "please mail me at once then",
+             53: "once upon a time, once more, once and (once)", 54: "well the number is 020 7946 0958 and more", 55: "the number is (017) 555-7713, ok",
+             56: "the 020 7946 0958 of them and jane(at)example.com", 57: "jane(at)nowhere.com"}
+    rows += list(texts.items())
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    at = lambda i, kind, own: f"found_{kind}:{texts[i].index(own)}:{texts[i].index(own) + len(own)}"
+    assert got[50] == at(50, "email", "jane(at)example.com") and got[51] == at(51, "email", "admin@localhost") and got[52] == got[53] == got[57] == ""
+    assert got[54] == at(54, "phone", "020 7946 0958") and got[55] == at(55, "phone", "(017) 555-7713")
+    assert got[56] == "" and got[0].startswith("email:") and ",found" not in got[0]
+
+
+def test_words_that_also_stand_elsewhere_are_no_identifiers(spark):
+    rows = [(i, f"please mail me at name{i}@site{i}.com today") for i in range(40)] + [(50, "please mail me at janedoe now"), (51, "Janedoe, janedoe")]
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[50] == "" and got[51] == ""
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(spark.createDataFrame(rows[:-1], "doc_id long, text string"))).collect()}
+    assert got[50] == "found_email:18:25"
+
+
+def test_hash_filter_holds_all_its_values(spark):
+    values = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 3000)
+    own = pii.HashFilter.of(spark.createDataFrame([(int(v),) for v in values], "h long"))
+    assert own.holds(values.view(np.uint64)).all()
+    assert own.holds(np.random.default_rng(2).integers(0, 2**64 - 1, 100_000, dtype=np.uint64)).mean() < 0.002
+
+
 def test_personal_data_awkward(awkward, nothing):
     got = pii.digest(pii.find_personal_data(awkward))
     assert got.count() == awkward.count() and got.where("n_email + n_ip + n_card + n_phone > 0 OR spans != ''").count() == 0
