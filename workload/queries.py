@@ -7,13 +7,13 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinlink.functions import cpf_check_digits, register_sql_functions
-from kinlink.operators import blocking, curves, entities, learning, linkage, lsh, metric, pairing, quality, search, stats
+from kinlink.operators import blocking, curves, entities, graphs, learning, linkage, lsh, metric, pairing, quality, search, stats
 from kinlink.operators.ranking import sort_matches, top_n
 from kinlink.operators.scoring import MatchConfig
 from kinlink.plans import match as plan, name_index, refresh, serve, store
 from kinlink.schema import MATCH_COLUMNS, MATCH_SCHEMA, PERSON_SCHEMA
 from kinlink.sources import files, generate, sinks, tables
-from kinlink.sources.scratch import scratch_path
+from kinlink.sources.scratch import scratch_path, written
 from kinlink.streaming import jobs
 from workload import oracle as sql
 from workload.persons import persons_a, persons_b, read, with_gaps
@@ -714,6 +714,78 @@ def relationship_degree(spark, d):
     return entities.relationship_degree(found).withColumn("mean_score", F.round("mean_score", 6))
 
 
+def linked_documents(spark: SparkSession, d: str) -> DataFrame:
+    return graphs.document_links(plan.match(*both(spark, d), MatchConfig(threshold=0.5, score_digits=9)))
+
+
+# The recursive queries run a number of rounds that is more than enough; settled values stay as they are.
+LINKS = sql.base(sql.matches(sql.BY_PREFIX, 0.5), """
+l AS MATERIALIZED (SELECT DISTINCT least(nr_documento_1, nr_documento_2) AS u, greatest(nr_documento_1, nr_documento_2) AS v
+    FROM m WHERE nr_documento_1 <> nr_documento_2),
+s AS MATERIALIZED (SELECT u, v FROM l UNION ALL SELECT v, u FROM l)""")
+
+
+@query("pivot_clusters", LINKS + """,
+w AS MATERIALIZED (SELECT u, v, md5(v) < md5(u) AS ahead FROM s UNION ALL SELECT DISTINCT u, u, false FROM s),
+p AS (SELECT 0 AS round, u AS node, 'open' AS state FROM (SELECT DISTINCT u FROM s)
+    UNION ALL
+    SELECT round + 1, u, CASE WHEN own <> 'open' THEN own WHEN taken THEN 'out' WHEN waits THEN 'open' ELSE 'pivot' END
+    FROM (SELECT p.round, w.u, max(CASE WHEN u = v THEN state END) AS own, bool_or(u <> v AND state = 'pivot') AS taken,
+            bool_or(ahead AND state = 'open') AS waits
+        FROM p JOIN w ON p.node = w.v WHERE p.round < 30 GROUP BY p.round, w.u)),
+f AS (SELECT node, state FROM p WHERE round = 30)
+SELECT node, node AS cluster FROM f WHERE state = 'pivot'
+UNION ALL SELECT s.u, arg_min(s.v, md5(s.v)) FROM s JOIN f ON f.node = s.v AND f.state = 'pivot'
+    JOIN f o ON o.node = s.u AND o.state = 'out' GROUP BY s.u""")
+def pivot_clusters(spark, d):
+    return graphs.pivot_clusters(linked_documents(spark, d))
+
+
+@query("clusters_refreshed", LINKS.replace("FROM m WHERE", "FROM m WHERE similarity_score >= 0.7::DOUBLE AND") + """,
+w AS MATERIALIZED (SELECT u, v, md5(v) < md5(u) AS ahead FROM s UNION ALL SELECT DISTINCT u, u, false FROM s),
+p AS (SELECT 0 AS round, u AS node, 'open' AS state FROM (SELECT DISTINCT u FROM s)
+    UNION ALL
+    SELECT round + 1, u, CASE WHEN own <> 'open' THEN own WHEN taken THEN 'out' WHEN waits THEN 'open' ELSE 'pivot' END
+    FROM (SELECT p.round, w.u, max(CASE WHEN u = v THEN state END) AS own, bool_or(u <> v AND state = 'pivot') AS taken,
+            bool_or(ahead AND state = 'open') AS waits
+        FROM p JOIN w ON p.node = w.v WHERE p.round < 30 GROUP BY p.round, w.u)),
+f AS (SELECT node, state FROM p WHERE round = 30),
+k AS (SELECT node, node AS cluster FROM f WHERE state = 'pivot'
+    UNION ALL SELECT s.u, arg_min(s.v, md5(s.v)) FROM s JOIN f ON f.node = s.v AND f.state = 'pivot'
+        JOIN f o ON o.node = s.u AND o.state = 'out' GROUP BY s.u),
+r AS (SELECT u AS node, u AS other FROM s UNION SELECT r.node, s.v FROM r JOIN s ON r.other = s.u)
+SELECT node, min(other) AS entity, any_value(cluster) AS cluster FROM r JOIN k USING (node) GROUP BY node""")
+def clusters_refreshed(spark, d):
+    """Clusters of the matches of 0.7 and more, from stored clusters of those of 0.75 and more and of a tenth of the documents that has left since."""
+    found = plan.match(*both(spark, d), MatchConfig(threshold=0.5, score_digits=9))
+    now = written(graphs.document_links(found.where("similarity_score >= 0.7")), "links-now")
+    before = written(graphs.document_links(found.where("similarity_score >= 0.75 OR (similarity_score >= 0.65 AND nr_documento_1 LIKE '%7')")), "links-before")
+    stored = written(graphs.cluster_table(before), "clusters")
+    return graphs.refresh_clusters(stored, now, now.exceptAll(before).union(before.exceptAll(now)))
+
+
+@query("relationship_triangles", LINKS + """,
+t AS (SELECT x.u AS a, x.v AS b, y.v AS c FROM l x JOIN l y ON x.v = y.u JOIN l z ON z.u = x.u AND z.v = y.v),
+n AS (SELECT u AS node, count(*) AS degree FROM s GROUP BY u),
+k AS (SELECT node, count(*) AS triangles FROM (SELECT unnest([a, b, c]) AS node FROM t) GROUP BY node)
+SELECT node, degree, coalesce(triangles, 0) AS triangles,
+    CASE WHEN degree > 1 THEN round(coalesce(triangles, 0) / (degree * (degree - 1) / 2), 9) END AS closed
+FROM n LEFT JOIN k USING (node)""")
+def relationship_triangles(spark, d):
+    return graphs.closeness(linked_documents(spark, d)).withColumn("closed", F.round("closed", 9))
+
+
+@query("relationship_cores", LINKS + """,
+h AS (SELECT 0 AS round, u AS node, count(*) AS core FROM s GROUP BY u
+    UNION ALL
+    SELECT round + 1, u, max(least(core, place)) FROM (
+        SELECT h.round, s.u, h.core, row_number() OVER (PARTITION BY h.round, s.u ORDER BY h.core DESC) AS place
+        FROM h JOIN s ON s.v = h.node WHERE h.round < 60) GROUP BY round, u)
+SELECT node, core FROM h WHERE round = 60""")
+def relationship_cores(spark, d):
+    return graphs.core_numbers(linked_documents(spark, d))
+
+
 @query("shared_documents", sql.base() + """
 SELECT nr_documento, count(DISTINCT lower(nome_completo)) AS names, count(*) AS records
 FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY nr_documento HAVING count(DISTINCT lower(nome_completo)) > 1""")
