@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kinlink.llm.store import written
 
 SCALE = 1024
-#: Vectors in a block; a cell holds one block of queries and one of candidates.
+#: Vectors in a block of candidates; queries come to it in blocks of as many.
 BLOCK = 4096
 #: The upper levels of the tree: at most so many centers, chosen from a sample of so many vectors; they decide on work, not on results.
 CENTERS, SAMPLE = 1024, 4096
@@ -74,13 +74,13 @@ def cover_tree(x: np.ndarray, points: np.ndarray | None = None, center: int | No
 
 
 def dual_search(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int,
-                least: np.ndarray | None = None, tally: dict[str, int] | None = None) -> list[tuple[int, int, int]]:
+                least: np.ndarray | None = None, tally: dict[str, int] | None = None, tree: Node | None = None) -> list[tuple[int, int, int]]:
     """(query, candidate, score) of the k best of each query among the candidates, ties to smaller ids, without itself.
 
     Rows are of integers held in float64 whose products stay exact. A pair of nodes is left out when no product of
     its points can reach the least k-th score of the node's queries:
     q.c <= center.center + r_c |center_q| + r_q |center_c| + r_q r_c.
-    `least` holds scores below which nothing is wanted of a query. The tally counts pairs of vectors that are scored, and pairs of
+    `tree` is a tree of the candidates, if there is one already. `least` holds scores below which nothing is wanted of a query. The tally counts pairs of vectors that are scored, and pairs of
     nodes that are left out.
     """
     best: list[list[tuple[int, int]]] = [[] for _ in range(len(queries))]
@@ -145,13 +145,19 @@ def dual_search(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarr
             visit_singles(q, c.singles)
 
     if len(queries) and len(candidates):
-        visit(cover_tree(queries), cover_tree(candidates))
+        visit(cover_tree(queries), tree or cover_tree(candidates))
     return [(int(query_ids[i]), -other, value) for i, own in enumerate(best) for value, other in own]
 
 
-def _matrix(lists: list[list[int]], width: int = 0) -> np.ndarray:
-    width = max([width, *map(len, lists)])
-    return np.array([x + [0] * (width - len(x)) for x in lists], np.float64).reshape(len(lists), width)
+def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
+    """Rows of long integers, filled with zeros up to the width."""
+    ends = np.asarray(lists.offsets, np.int64)
+    lengths, values = np.diff(ends), np.asarray(lists.flatten(), np.int64)
+    if (lengths == width).all():
+        return values.reshape(len(lengths), width)
+    out = np.zeros((len(lengths), width), np.int64)
+    out[np.repeat(np.arange(len(lengths)), lengths), np.arange(len(values)) - np.repeat(ends[:-1] - ends[0], lengths)] = values
+    return out
 
 
 def _plain(own: int, query: list[int], ids: list[int], candidates: list[list[int]], k: int) -> list[tuple[int, int, int]]:
@@ -167,9 +173,8 @@ def scaled(vector: Column) -> Column:
     return F.when(vector.isNotNull() & F.coalesce(finite, F.lit(False)), number)
 
 
-def upper_centers(sample: list[list[int]], wanted: int) -> np.ndarray:
-    """Centers of the upper levels: levels of half the radius each, until there are `wanted`; farthest from the chosen ones first."""
-    x = _matrix(sample)
+def upper_centers(x: np.ndarray, wanted: int) -> np.ndarray:
+    """Up to `wanted` centers of the tree's upper levels: the row farthest from the chosen ones comes next, so any prefix covers and keeps apart alike."""
     chosen, away = [0], ((x - x[0]) ** 2).sum(1)
     while len(chosen) < wanted and away.max() > 0:
         chosen.append(int(away.argmax()))
@@ -177,19 +182,13 @@ def upper_centers(sample: list[list[int]], wanted: int) -> np.ndarray:
     return x[chosen]
 
 
-def _fit(lists: list[list[int]], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The vectors and the centers, both filled with zeros to one width."""
-    x = _matrix(lists, centers.shape[1])
-    return x, np.pad(centers, ((0, 0), (0, x.shape[1] - centers.shape[1])))
-
-
 def _nearest(centers: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
-                x, c = _fit(part.column("v").to_pylist(), centers)
-                place = _square_distances(x, c).argmin(1) if len(x) else np.zeros(0, np.int64)
-                away = np.sqrt(((x - c[place]) ** 2).sum(1))
+                x = _matrix(part.column("v"), centers.shape[1]).astype(np.float64)
+                place = _square_distances(x, centers).argmin(1)
+                away = np.sqrt(((x - centers[place]) ** 2).sum(1))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(3)), pa.array(place, pa.int32()), pa.array(away)], ["vec_id", "v", "is_query", "c", "away"])
     return task
@@ -200,59 +199,71 @@ def _other_centers(centers: np.ndarray, radii: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                x, c = _fit(part.column("v").to_pylist(), centers)
-                least = np.array([_LONG if s is None else float(s) for s in part.column("least").to_pylist()])
-                norms = np.sqrt((x ** 2).sum(1))
+                x = _matrix(part.column("v"), centers.shape[1]).astype(np.float64)
+                norms, least = np.sqrt((x ** 2).sum(1)), _scores(part.column("least"), _LONG)
                 reach = norms[:, None] * radii[None]
-                value = x @ c.T + reach
-                value = np.maximum(value + 1e-9 * (norms[:, None] * np.sqrt((c ** 2).sum(1))[None] + reach) + 1e-6, _LONG)
+                value = x @ centers.T + reach
+                value = np.maximum(value + 1e-9 * (norms[:, None] * np.sqrt((centers ** 2).sum(1))[None] + reach) + 1e-6, _LONG)
                 wanted = value >= least[:, None]
                 wanted[np.arange(len(x)), part.column("c").to_numpy()] = False
                 at, other = np.nonzero(wanted)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(name).take(pa.array(at)) for name in ("vec_id", "v", "least", "c", "i")), pa.array(other, pa.int32())],
-                    ["vec_id", "v", "least", "c", "i", "other"])
+                    [*(part.column(name).take(pa.array(at)) for name in ("vec_id", "v", "least", "c")), pa.array(other, pa.int32())],
+                    ["vec_id", "v", "least", "c", "other"])
     return task
 
 
-def _search_cells(k: int):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, ([], [], [], [], [])
-
-        def search() -> pa.RecordBatch:
-            query_ids, queries, ids, candidates, least = held
-            m = _matrix(queries + candidates)
-            if np.abs(m).max(initial=0) ** 2 * max(1, m.shape[1]) < 2**53:
-                floor = np.array([-np.inf if s is None else float(s) for s in least])
-                found = dual_search(m[:len(queries)], m[len(queries):], np.array(query_ids, np.int64), np.array(ids, np.int64), k, floor)
-            else:
-                found = [hit for own, q in zip(query_ids, queries) for hit in _plain(own, q, ids, candidates, k)]
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], ["query_id", "vec_id", "score"])
+def _scores(column: pa.Array, none: float) -> np.ndarray:
+    return np.where(np.asarray(column.is_null()), none, np.asarray(column.fill_null(0), np.float64))
 
-        for batch in batches:
-            for *cell, asks, own, v, least in zip(*(batch.column(c).to_pylist() for c in range(8))):
-                if cell != key and key is not None:
-                    yield search()
-                    held = ([], [], [], [], [])
-                key = cell
-                held[0 if asks else 2].append(own)
-                held[1 if asks else 3].append(v)
-                if asks:
-                    held[4].append(least)
-        if key is not None:
-            yield search()
-    return task
 
+def _search_blocks(k: int, width: int, block: int):
+    """Rows come by block, candidates first. The candidates' tree is built once, then searched by blocks of queries."""
+    def largest(m: np.ndarray) -> int:
+        return max(int(m.max(initial=0)), -int(m.min(initial=0)))
 
-_CELL = ["c", "i", "other", "j"]
+    def search(index: list[tuple], asked: list[tuple], built: dict) -> pa.RecordBatch:
+        if not built:
+            ids, m = (np.concatenate(x) for x in list(zip(*index))[:2])
+            built.update(ids=ids, m=m.astype(np.float64), exact=m, largest=largest(m))
+            built["tree"] = cover_tree(built["m"]) if len(m) else None
+        query_ids, m, least = (np.concatenate(x) for x in zip(*asked))
+        if max(built["largest"], largest(m)) ** 2 * max(1, width) < 2**53:
+            found = dual_search(m.astype(np.float64), built["m"], query_ids, built["ids"], k, least, tree=built["tree"])
+        else:
+            found = [hit for own, q in zip(query_ids.tolist(), m.tolist()) for hit in _plain(own, q, built["ids"].tolist(), built["exact"].tolist(), k)]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], ["query_id", "vec_id", "score"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, index, asked, built, waiting = None, [], [], {}, 0
+        for batch in batches:
+            other, j, asks, ids = (np.asarray(batch.column(i)) for i in range(4))
+            m, least = _matrix(batch.column(4), width), _scores(batch.column(5), -np.inf)
+            cuts = np.flatnonzero((np.diff(other) != 0) | (np.diff(j) != 0) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]):
+                if lo == hi:
+                    continue
+                if key != (other[lo], j[lo]):
+                    if asked and index:
+                        yield search(index, asked, built)
+                    key, index, asked, built, waiting = (other[lo], j[lo]), [], [], {}, 0
+                (asked if asks[lo] else index).append((ids[lo:hi], m[lo:hi], least[lo:hi]))
+                waiting += hi - lo if asks[lo] else 0
+                if waiting >= block and index:
+                    yield search(index, asked, built)
+                    asked, waiting = [], 0
+        if asked and index:
+            yield search(index, asked, built)
+    return task
 
 
-def _in_cells(asked: DataFrame, index: DataFrame, cells: int, k: int) -> DataFrame:
-    """The k best of each query in each cell: (query_id, vec_id, score)."""
-    rows = asked.select(*_CELL, F.lit(True).alias("asks"), "vec_id", "v", "least").union(
-        index.select(*_CELL, F.lit(False), "vec_id", "v", F.lit(None).cast("bigint")))
-    return (rows.repartition(max(1, min(cells, 10_000)), *_CELL).sortWithinPartitions(*_CELL)
-            .mapInArrow(_search_cells(k), "query_id bigint, vec_id bigint, score bigint"))
+def _in_blocks(asked: DataFrame, index: DataFrame, blocks: int, k: int, width: int, block: int) -> DataFrame:
+    """The k best of each query in each block of candidates (other, j) that it comes to: (query_id, vec_id, score)."""
+    columns = ["other", "j", "asks", "vec_id", "v", "least", "c"]
+    rows = asked.withColumn("asks", F.lit(True)).select(columns).union(
+        index.select("other", "j", F.lit(False), "vec_id", "v", F.lit(None).cast("bigint"), F.lit(0)))
+    return (rows.repartition(max(1, min(blocks, 10_000)), "other", "j").sortWithinPartitions("other", "j", "asks", "c")
+            .mapInArrow(_search_blocks(k, width, block), "query_id bigint, vec_id bigint, score bigint"))
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -269,43 +280,35 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, tall
 
     Vectors go to the nearest center of the tree's upper levels; those of a center are cut into blocks by a hash of
     the id. A query is first searched in its own center's blocks. Its k-th score there rules out other centers by
-    their radii, before anything is shuffled to them. A cell, a block of queries with a block of candidates, is searched
-    by a dual tree, and the best k of all cells are merged. The tally counts `reached` (query, other center) pairs of `possible` ones.
+    their radii, before anything is shuffled to them. A block holds the tree of its candidates, which is searched with
+    trees of the queries that come to it, and the best k of all blocks are merged. Candidates are shuffled once a step, whatever
+    the number of queries. The tally counts `reached` (query, other center) pairs of `possible` ones.
     """
     rows = (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled(F.col("embedding")).alias("v"))
             .where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id").agg(F.max("v").alias("v")))
     rows = written(rows.withColumn("is_query", F.coalesce(is_query, F.lit(False))), "vectors")
-    spark, n = rows.sparkSession, rows.count()
+    n, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     sample = [r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(SAMPLE).collect()]  # bounded
-    centers = upper_centers(sample or [[0]], min(CENTERS, -(-n // block)))
+    centers = upper_centers(_matrix(pa.array(sample or [[]], pa.list_(pa.int64())), width).astype(np.float64), min(CENTERS, -(-n // block)))
     placed = written(rows.mapInArrow(_nearest(centers), "vec_id bigint, v array<bigint>, is_query boolean, c int, away double"), "vectors-placed")
-    stats = placed.groupBy("c").agg(F.count("*").alias("n"), F.count_if("is_query").alias("asking"), F.max("away").alias("radius")).collect()  # CENTERS rows
-    blocks, query_blocks, radii = np.ones(len(centers), int), np.zeros(len(centers), int), np.full(len(centers), -np.inf)
+    stats = placed.groupBy("c").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()  # CENTERS rows
+    blocks, radii = np.ones(len(centers), int), np.full(len(centers), -np.inf)
     for r in stats:
-        blocks[r["c"]], query_blocks[r["c"]], radii[r["c"]] = -(-r["n"] // block), -(-r["asking"] // block), r["radius"]
-    layout = F.broadcast(spark.createDataFrame(
-        [(i, int(b), int(q)) for i, (b, q) in enumerate(zip(blocks, query_blocks))], "c int, blocks int, query_blocks int"))  # CENTERS rows
-    slot = lambda count: F.pmod(F.xxhash64("vec_id"), F.greatest(F.col(count), F.lit(1))).cast("int")
-    each = lambda count: F.explode(F.expr(f"sequence(0, {count} - 1)"))
-
-    placed = placed.join(layout, "c").withColumn("j", slot("blocks")).withColumn("i", slot("query_blocks"))
-    none = F.lit(None).cast("bigint").alias("least")
-    asked = placed.where("is_query").select("c", "i", F.col("c").alias("other"), each("blocks").alias("j"), "vec_id", "v", none)
-    index = placed.where("query_blocks > 0").select("c", each("query_blocks").alias("i"), F.col("c").alias("other"), "j", "vec_id", "v")
-    own = _best(_in_cells(asked, index, int((blocks * query_blocks).sum()), k), k)
-    if len(centers) == 1:
-        return own.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
-    own = written(own.select("query_id", "vec_id", "score"), "vectors-own")
-    least = own.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") == k, F.min("score")).alias("least"))
-    open_queries = placed.where("is_query").join(least, "vec_id", "left").select("vec_id", "v", "least", "c", "i")
-    reached = written(open_queries.mapInArrow(_other_centers(centers, radii), "vec_id bigint, v array<bigint>, least bigint, c int, i int, other int"), "vectors-reached")
-    pairs = written(reached.select("c", "i", "other").distinct()
-                    .join(layout.select(F.col("c").alias("other"), "blocks"), "other").select("c", "i", "other", each("blocks").alias("j")), "vectors-cells")
-    if tally is not None:
-        tally.update(reached=reached.count(), possible=(len(centers) - 1) * placed.where("is_query").count())
-    asked = (reached.join(layout.select(F.col("c").alias("other"), "blocks"), "other")
-             .select("c", "i", "other", each("blocks").alias("j"), "vec_id", "v", "least"))
-    index = placed.select(F.col("c").alias("other"), "j", "vec_id", "v").join(pairs, ["other", "j"]).select(*_CELL, "vec_id", "v")
-    found = own.union(_in_cells(asked, index, pairs.count(), k))
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        blocks[r["c"]], radii[r["c"]] = -(-r["n"] // block), r["radius"]
+    layout = F.broadcast(rows.sparkSession.createDataFrame([(i, int(b)) for i, b in enumerate(blocks)], "other int, blocks int"))  # CENTERS rows
+    in_blocks = lambda asked: _in_blocks(
+        asked.join(layout, "other").withColumn("j", F.explode(F.expr("sequence(0, blocks - 1)"))),
+        placed.withColumnRenamed("c", "other").join(layout, "other").withColumn("j", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int")),
+        int(blocks.sum()), k, width, block)
+
+    asked = placed.where("is_query").select("c", F.col("c").alias("other"), "vec_id", "v", F.lit(None).cast("bigint").alias("least"))
+    own = _best(in_blocks(asked), k)
+    if len(centers) > 1:
+        own = written(own.select("query_id", "vec_id", "score"), "vectors-own")
+        least = own.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") == k, F.min("score")).alias("least"))
+        queries = placed.where("is_query").join(least, "vec_id", "left").select("vec_id", "v", "least", "c")
+        reached = queries.mapInArrow(_other_centers(centers, radii), "vec_id bigint, v array<bigint>, least bigint, c int, other int")
+        if tally is not None:
+            tally.update(reached=reached.count(), possible=(len(centers) - 1) * queries.count())
+        own = _best(own.union(in_blocks(reached)), k)
+    return own.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
