@@ -13,7 +13,7 @@ from kinlink.llm import kernels as K
 from kinlink.llm.store import written
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, MIN_SEEDS, CONFIDENCE = 4, 4, 0.8
+ROUNDS, MIN_SEEDS, MIN_SHARE, CONFIDENCE = 4, 4, 0.25, 0.8
 #: Bits of a hash filter for each value in it, and the bounds of its size as powers of two (32 MB). Joins after it are exact.
 BITS_EACH, LEAST_BITS, MOST_BITS = 64, 16, 28
 
@@ -209,6 +209,37 @@ def _stripped(data: np.ndarray, start: np.ndarray, end: np.ndarray, before: np.n
 PLACES = "doc_id bigint, text_hash bigint, start bigint, end bigint, instance string, word bigint, free boolean, patterns array<bigint>"
 
 
+def _contexts(seg: K.Segment, allowed: HashFilter) -> tuple:
+    """Words; the first and last word of what can stand at a place: one word, or number-like words side by side; its patterns, and which are in the filter."""
+    start, end, row = K.words(seg)
+    n = len(start)
+    h = K.span_hashes(K.LOWER[seg.data], start, end)
+    bare = _stripped(seg.data, start, end, None, _END)[1]
+    likes, digits = (np.concatenate([[0], np.cumsum(x[seg.data])]) for x in (_LIKE, _DIGIT))
+    number = (likes[bare] - likes[start] == bare - start) & (digits[bare] > digits[start])
+    goes_on = np.zeros(n, bool)
+    goes_on[1:] = number[1:] & number[:-1] & (row[1:] == row[:-1]) & (bare[:-1] == end[:-1])
+    first = np.flatnonzero(~goes_on)
+    last = np.concatenate([first[1:], [n]])[:len(first)] - 1
+    near = lambda at: (at >= 0) & (at < n) & (row[np.clip(at, 0, n - 1)] == row[first])
+    word = lambda at: h[np.clip(at, 0, n - 1)]
+    kinds = [(_pattern(2, word(first - 2), word(first - 1)), near(first - 2)),
+             (_pattern(3, word(first - 3), word(first - 2), word(first - 1)), near(first - 3)),
+             (_pattern(1, word(first - 1), word(last + 1)), near(first - 1) & near(last + 1))]
+    return start, end, row, bare, first, last, kinds, [there & allowed.holds(own) for own, there in kinds]
+
+
+def _context_counts(allowed: HashFilter):
+    """How often the patterns in the filter stand anywhere, whatever is at their place."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for seg in K.segments(batch.column(0)):
+                *_, kinds, hits = _contexts(seg, allowed)
+                own, n = np.unique(np.concatenate([k[hit] for (k, _), hit in zip(kinds, hits)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n, pa.int64())], ["pattern", "n"])
+    return task
+
+
 def _places(allowed: HashFilter):
     """Whatever stands at a place of a pattern in the filter: a word of any characters, or number-like words side by side.
 
@@ -219,24 +250,8 @@ def _places(allowed: HashFilter):
         for batch in batches:
             ids = batch.column(0)
             for seg in K.segments(batch.column(1)):
-                start, end, row = K.words(seg)
-                if not len(start):
-                    continue
-                lower, n = K.LOWER[seg.data], len(start)
-                h = K.span_hashes(lower, start, end)
-                _, bare = _stripped(seg.data, start, end, None, _END)
-                likes, digits, plain = (np.concatenate([[0], np.cumsum(x[seg.data])]) for x in (_LIKE, _DIGIT, _PLAIN))
-                number = (likes[bare] - likes[start] == bare - start) & (digits[bare] > digits[start])
-                goes_on = np.zeros(n, bool)
-                goes_on[1:] = number[1:] & number[:-1] & (row[1:] == row[:-1]) & (bare[:-1] == end[:-1])
-                first = np.flatnonzero(~goes_on)
-                last = np.concatenate([first[1:], [n]]) - 1
-                near = lambda at: (at >= 0) & (at < n) & (row[np.clip(at, 0, n - 1)] == row[first])
-                word = lambda at: h[np.clip(at, 0, n - 1)]
-                kinds = [(_pattern(2, word(first - 2), word(first - 1)), near(first - 2)),
-                         (_pattern(3, word(first - 3), word(first - 2), word(first - 1)), near(first - 3)),
-                         (_pattern(1, word(first - 1), word(last + 1)), near(first - 1) & near(last + 1))]
-                hits = [there & allowed.holds(own) for own, there in kinds]
+                start, end, row, bare, first, last, kinds, hits = _contexts(seg, allowed)
+                lower = K.LOWER[seg.data]
                 at = np.flatnonzero(np.logical_or.reduce(hits))
                 if not len(at):
                     continue
@@ -245,6 +260,7 @@ def _places(allowed: HashFilter):
                 a[single], b[single] = _stripped(seg.data, start[first[at]][single], end[last[at]][single], _OPEN, _CLOSE)
                 own_word, points, raw = K.span_hashes(lower, a, b).view(np.int64), K.char_counts(seg.data), seg.data.tobytes()
                 hashes = K.span_hashes(seg.data, seg.offsets[:-1], seg.offsets[1:]).view(np.int64)
+                plain = np.concatenate([[0], np.cumsum(_PLAIN[seg.data])])
                 single &= plain[b] - plain[a] == b - a
                 known, rows = (-1, [], []), []
                 for i, x, y, common, own in zip(at.tolist(), a.tolist(), b.tolist(), single.tolist(), own_word.tolist()):
@@ -276,10 +292,11 @@ def _word_counts(allowed: HashFilter):
     return task
 
 
-def discovered(docs: DataFrame, extracted: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, confidence: float = CONFIDENCE) -> DataFrame:
+def discovered(docs: DataFrame, extracted: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_share: float = MIN_SHARE, confidence: float = CONFIDENCE) -> DataFrame:
     """(doc_id, text_hash, start, end, kind): identifiers that confident patterns point at.
 
-    A pattern is a candidate for a kind if at least `min_seeds` different seeds of it stand in it. Whatever stands at
+    A pattern is a candidate for a kind if at least `min_seeds` different seeds of it stand in it and make up `min_share` of
+    its occurrences; so places of candidates grow with the seeds, not with the words that patterns are found by chance in. Whatever stands at
     its place is an instance. Its score is the mass of its instances over all its occurrences. Seeds have mass 1; another
     instance's mass is one minus the product of one minus the scores of its patterns, times the share of its
     occurrences in the corpus that stand in candidate patterns: what also stands elsewhere, as common words do, is no
@@ -287,29 +304,35 @@ def discovered(docs: DataFrame, extracted: DataFrame, rounds: int = ROUNDS, min_
     `rounds` times, as joins and sums over the pattern-instance graph.
     """
     seeds = extracted.select("doc_id", "text_hash", F.explode("places").alias("p")).select("doc_id", "text_hash", "p.*")
+    empty = seeds.where("false").select("doc_id", "text_hash", "start", "end", "kind")
     candidates = written(seeds.where("kind IS NOT NULL").select(F.explode("patterns").alias("pattern"), "instance", "kind")
-                         .groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("seeds"))
-                         .where(F.col("seeds") >= min_seeds).select("pattern", "kind"), "pii-patterns")
+                         .groupBy("pattern", "kind", "instance").agg(F.count("*").alias("n"))
+                         .groupBy("pattern", "kind").agg(F.count("*").alias("seeds"), F.sum("n").alias("n"))
+                         .where(F.col("seeds") >= min_seeds).select("pattern", "kind", "n"), "pii-patterns")
     if candidates.isEmpty():
-        return seeds.where("false").select("doc_id", "text_hash", "start", "end", "kind")
-    names = candidates.select("pattern").distinct()
-    there = written(docs.select("doc_id", "text").mapInArrow(_places(HashFilter.of(names)), PLACES)
-                    .withColumn("pattern", F.explode("patterns")).drop("patterns").join(names, "pattern"), "pii-places")
-    everywhere = there.groupBy("pattern").agg(F.count("*").alias("occurrences"))
-    patterns = written(candidates.join(everywhere, "pattern", "left").select("pattern", "kind", F.coalesce("occurrences", F.lit(0)).alias("occurrences")), "pii-counts")
+        return empty
+    everywhere = (docs.select("text").mapInArrow(_context_counts(HashFilter.of(candidates.select("pattern").distinct())), "pattern bigint, n bigint")
+                  .groupBy("pattern").agg(F.sum("n").alias("occurrences")))
+    patterns = written(candidates.join(everywhere, "pattern", "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
+                       .where(F.col("n") >= min_share * F.col("occurrences")).select("pattern", "kind", "occurrences"), "pii-counts")
+    if patterns.isEmpty():
+        return empty
+    names = patterns.select("pattern").distinct()
+    there = (docs.select("doc_id", "text").mapInArrow(_places(HashFilter.of(names)), PLACES).where("free")
+             .withColumn("pattern", F.explode("patterns")).join(names, "pattern").withColumn("kind", F.lit(None).cast("string")))
 
     columns = ["doc_id", "text_hash", "start", "end", "instance", "word", "kind", "pattern"]
     spots = (seeds.withColumn("pattern", F.explode("patterns")).join(names, "pattern").withColumn("word", F.lit(None).cast("bigint")).select(columns)
-             .union(there.where("free").withColumn("kind", F.lit(None).cast("string")).select(columns)))
+             .union(there.select(columns)))
     spots = written(spots, "pii-spots")
     words = written(spots.where("word IS NOT NULL").groupBy("word").agg(F.count_distinct("doc_id", "text_hash", "start").alias("here")), "pii-words")
     counted = docs.select("text").mapInArrow(_word_counts(HashFilter.of(words.select("word"))), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     shares = words.join(counted, "word").select("word", F.least(F.lit(1.0), F.col("here") / F.col("n")).alias("share"))
-    spots = spots.join(shares, "word", "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
-
-    graph = written(spots.withColumnRenamed("kind", "seed_kind").join(patterns, "pattern").groupBy("pattern", "kind", "instance")
-                    .agg(F.count("*").alias("n"), F.max(F.expr("CASE WHEN seed_kind = kind THEN 1.0D ELSE 0.0D END")).alias("seed"),
-                         F.first("occurrences").alias("occurrences"), F.min("share").alias("share")), "pii-graph")
+    grouped = written(spots.withColumnRenamed("kind", "seed_kind").join(patterns, "pattern").groupBy("pattern", "kind", "instance", "word")
+                      .agg(F.count("*").alias("n"), F.max(F.expr("CASE WHEN seed_kind = kind THEN 1.0D ELSE 0.0D END")).alias("seed"),
+                           F.first("occurrences").alias("occurrences")), "pii-groups")
+    graph = written(grouped.where("word IS NOT NULL").join(shares, "word").select(*grouped.columns, "share")
+                    .union(grouped.where("word IS NULL").withColumn("share", F.lit(1.0))), "pii-graph")
     mass = graph.groupBy("instance", "kind").agg(F.max("seed").alias("mass"))
     scores = None
     for _ in range(rounds):
