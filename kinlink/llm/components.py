@@ -35,8 +35,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     In each round every node hooks to the neighbour, or itself, that comes first in a random order
     of the round, and edges are rewritten between parents. The order makes the number of nodes fall
-    by a constant factor in expectation, also for long chains. All steps are joins and partial
-    aggregates, so a node with any number of edges is never gathered in one task. Once few edges are
+    by a constant factor in expectation, also for long chains. Smallest neighbours are partial aggregates. Edges are
+    joined by their ends, so those of a hub meet at one key, which adaptive execution splits where it is skewed. Once few edges are
     left, one task finishes them. Null ends and loops are left out; an empty table gives no rows.
     Nodes are bigint.
     """
