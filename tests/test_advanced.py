@@ -195,6 +195,8 @@ def test_file_stream_equals_batch_and_replay_adds_nothing(spark, persons, folder
     assert read() == rows(match(a, b))
     run()
     assert read() == rows(match(a, b))
+    with pytest.raises(ValueError):
+        jobs.match_stream(a, b, MatchConfig(strategy="salted"))
 
 
 def test_batches_of_a_stream_split_hot_keys(spark, persons, folder):
