@@ -184,6 +184,24 @@ def test_ranked_searches(spark, place, index, current):
     assert rows(got) == sorted(map(tuple, expect), key=repr)
 
 
+def test_many_questions_take_only_the_best_matches_of_a_word(spark, folder):
+    """A word or a couple of words that stands in every name gives a question as many hits as it asks for, and the right ones."""
+    docs = [(f"d{i:03d}", f"e{i:03d}", f"Ana Maria Silva {'Souza' if i % 2 else 'Lopes'}", "Ana Maria", (i * 37 % 100) / 100) for i in range(100)]
+    given = spark.createDataFrame(docs, "nr_documento_1 string, nr_documento_2 string, nome_completo_1 string, nome_completo_2 string, similarity_score double")
+    place, ix = S.Store(f"{folder}/store", 4), N.NameIndex(f"{folder}/names", 4)
+    S.add_load(spark, place, serve.served_documents(given.withColumns({f"data_nascimento_{n}": F.lit("1980-01-01") for n in (1, 2)}), date(2025, 6, 30)), 1)
+    N.build_name_index(S.read_store(spark, place), ix)
+    asked = spark.createDataFrame([(k, n) for k, n in enumerate(("Ana", "Maria Silva", "Ana Maria Silva Souza"))], "query_id int, query_name string")
+    for hits_of, fuzzy in ((N.fuzzy_hits_batch, True), (N.phrase_hits_batch, False)):
+        for top, floor in ((3, None), (2, 0.5)):
+            hits = hits_of(spark, ix, asked, top, floor)
+            best = lambda df: rows(df.where(f"similarity_score >= {floor or 0}").groupBy("query_id").agg(F.slice(F.sort_array(F.collect_set(F.struct((-F.col("similarity_score")).alias("s"), "match_id"))), 1, top)))
+            assert best(hits) == best(hits_of(spark, ix, asked))
+            assert hits.count() <= 3 * top * 4 < 100
+            got = N.search_indexed_batch(spark, place, ix, asked, top, fuzzy, floor)
+            assert got.groupBy("query_id").count().where(f"count = {top}").count() == 3
+
+
 def test_a_question_reads_only_its_folders(spark, index, current):
     """Every scan of an index table is bounded by the folders of its keys."""
     name = current.orderBy("match_id").first()["nome_completo_2"]
