@@ -218,3 +218,37 @@ def test_more_hot_keys_than_the_list_that_is_broadcast(persons):
     expect = rows(match(*persons, MatchConfig(strategy="plain")))
     cfg = SkewConfig(pair_budget=1, slice_rows=2, max_hot_keys=1)
     assert rows(match(*persons, MatchConfig(strategy="salted", skew=cfg))) == expect
+
+
+def test_names_are_compared_once_a_bundle(spark, make):
+    """Rows of one name meet those of another as one pair of bundles, whatever their number; every pair of rows comes out, cut at any size."""
+    from kinlink.operators import pairing, scoring
+    from kinlink.plans import match as plan
+    days = ["1980-01-01", "1980-01-02", "1980-02-01", "1981-01-01", "", None]
+    people = lambda name, tag, n: [(name, days[i % 6], f"{tag}{i % 40}" if i % 9 else None, "Ativo") for i in range(n)]
+    a = make(*people("Ana Maria Souza", "x", 150), *people("Ana Mario Souza", "y", 3), *people(None, "x", 7), *people("", "z", 5))
+    b = make(*people("Ana Maria Sousa", "x", 130), *people("Ana Maria Souza", "y", 4), *people(None, "x", 7), *people("", "z", 5))
+    every = MatchConfig(strategy="plain")
+    left, right = (plan._prepared(df, every, True) for df in (a, b))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def met(_):
+        seen.add(1)
+        return True
+
+    bundles = pairing.Bundles([*scoring.name_bundles(every).by], bound=lambda l, r: met(F.concat(l("_lower"), r("_lower"))))
+    key = [F.lit("k")]
+    pairs = pairing.pair_rows(left, right, key, key, strategy="plain", bundles=bundles)
+    n = left.count() * right.count()
+    assert pairs.count() == n and 0 < seen.value < n / 50
+    for null in ("drop", "zero"):
+        for threshold in (0.3, 0.7):
+            expect = None
+            for strategy, skew in (("plain", pairing.SkewConfig()), ("auto", pairing.SkewConfig()), ("shuffle_hash", pairing.SkewConfig()),
+                                   ("salted", pairing.SkewConfig(pair_budget=20, slice_rows=7))):
+                cfg = MatchConfig(threshold=threshold, null_document=null, strategy=strategy, skew=skew)
+                got = rows(plan.match(a, b, cfg))
+                by_score = plan.scored_pairs(a, b, cfg).where(F.col("similarity_score") >= threshold)
+                expect = expect or rows(by_score.select(*plan.MATCH_COLUMNS))
+                assert got == expect and expect
