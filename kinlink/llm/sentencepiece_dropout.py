@@ -16,7 +16,7 @@ from kinlink.llm import kernels as K
 SPACE = "▁"
 DROPOUT, SEED = 0.1, 0
 #: States of chunks that a task keeps, and skips in the past of a state up to which what follows is kept.
-CACHED, KEPT_SKIPS = 600_000, 2
+CACHED, KEPT_SKIPS = 200_000, 2
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MASK = (1 << 64) - 1
 

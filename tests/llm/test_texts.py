@@ -391,3 +391,15 @@ def test_pipeline_stages_awkward(spark, awkward, nothing):
     assert near.where("doc_id = 4").count() == 1 and near.where("doc_id = 5").count() == 0 and near.where("doc_id IN (1, 2, 3)").count() == 3
     encoded = stages["sentencepiece"](spark, awkward, SF)
     assert encoded.count() == awkward.count() and encoded.where("doc_id IN (1, 2) AND size(ids) > 0").count() == 0
+
+
+def test_the_encoder_forgets_before_it_grows_large():
+    """A worker's states take about 1.2 kB each, so with many different words they are bounded; ids do not depend on it."""
+    vocabulary, rng = sp.Vocabulary.load(sp.MODEL), random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(9_000)) for _ in range(9)]
+    encoder, most = sp.Encoder(vocabulary, 0.1, 0), 0
+    for k, text in enumerate(texts):
+        got = encoder.encode([text], [k])
+        most = max(most, encoder.states.chunk.n)
+    assert most < 400_000
+    assert np.array_equal(got[0], sp.Encoder(vocabulary, 0.1, 0).encode([texts[-1]], [len(texts) - 1])[0])
