@@ -252,3 +252,45 @@ def test_names_are_compared_once_a_bundle(spark, make):
                 by_score = plan.scored_pairs(a, b, cfg).where(F.col("similarity_score") >= threshold)
                 expect = expect or rows(by_score.select(*plan.MATCH_COLUMNS))
                 assert got == expect and expect
+
+
+def test_rows_of_bundles_are_shuffled_once(persons):
+    """With one block the pass is a constant, which the window does not ask for; the rows stay in as many tasks as they were dealt to."""
+    text = match(*persons, MatchConfig(strategy="plain"))._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and all("REPARTITION_BY_NUM" in line for line in dealt)
+
+
+TEXTS = st.text(alphabet="abcéÉİ MZzñ🙂", max_size=14)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(TEXTS, TEXTS), min_size=1, max_size=40))
+def test_bounds_by_characters_never_exceed_the_scores(spark, pairs):
+    """Characters without a partner bound edits from below and common characters from above."""
+    from kinlink.functions.similarity import jaro_winkler, letter_bags, letters_apart
+    low = spark.createDataFrame(pairs, "a string, b string").select(F.lower("a").alias("a"), F.lower("b").alias("b")).where("a != '' AND b != ''")
+    la, lb = F.length("a"), F.length("b")
+    got = low.withColumn("apart", letters_apart(letter_bags(F.col("a")), letter_bags(F.col("b")))).select(
+        "a", "b", "apart", F.levenshtein("a", "b").alias("edits"), jaro_winkler(F.col("a"), F.col("b")).alias("jaro"),
+        ((F.col("apart") + F.abs(la - lb)) / 2).alias("least"), (0.6 + (la + lb) * (la + lb - F.col("apart")) * 0.1 / (la * lb)).alias("most"))
+    for r in got.collect():
+        assert r["edits"] >= r["least"] and r["jaro"] <= r["most"] + 1e-9, r
+        assert r["a"] != r["b"] or r["apart"] == 0
+
+
+def test_few_pairs_of_names_have_their_edits_counted(spark, make):
+    """Names of one block that share too few letters are ruled out before; those that could match are kept."""
+    from kinlink.operators import scoring
+    from kinlink.plans import match as plan
+    names = ["Ana Quirino Bastos", "Ana Teles Fagundes", "Ana Wolf Xerxes", "Ana Prado Cunha"]
+    people = make(*[(n, f"1980-0{i + 1}-01", f"{i}", "Ativo") for i, n in enumerate(names)])
+    cfg = MatchConfig(strategy="plain")
+    bundles = scoring.name_bundles(cfg)
+    rows_ = plan._prepared(people, cfg, True)
+    side = lambda n: rows_.groupBy(*bundles.by).agg(*[c.alias(k) for k, c in bundles.summary.items()]).withColumns(bundles.derive).alias(n)
+    test = bundles.bound(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
+    kept = side("x").crossJoin(side("y")).where(test).select(F.col("x._lower").alias("p"), F.col("y._lower").alias("q"))
+    assert rows(kept) == sorted((n.lower(), n.lower()) for n in names)
+    by_score = plan.scored_pairs(people, people, cfg).where("similarity_score >= 0.7")
+    assert rows(match(people, people, cfg)) == rows(by_score.select(*MATCH_COLUMNS))
