@@ -5,9 +5,11 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from kinlink.functions import phonetic_code
+from kinlink.functions.similarity import rounded
 from kinlink.operators.pairing import SkewConfig
 from kinlink.operators.scoring import MatchConfig, Weights, finer_attributes
 from kinlink.plans.match import candidate_count, candidate_pairs, incremental_match, match, merge_increment, scored_pairs
+from kinlink.operators.stats import score_histogram
 from kinlink.schema import MATCH_COLUMNS
 from tests import reference as R
 from tests.conftest import rows
@@ -294,3 +296,21 @@ def test_few_pairs_of_names_have_their_edits_counted(spark, make):
     assert rows(kept) == sorted((n.lower(), n.lower()) for n in names)
     by_score = plan.scored_pairs(people, people, cfg).where("similarity_score >= 0.7")
     assert rows(match(people, people, cfg)) == rows(by_score.select(*MATCH_COLUMNS))
+
+
+def test_rounding_without_text_equals_rounding(spark):
+    values = [0.0, 1.0, 0.5, 0.7, 1 / 3, 2 / 3, 0.1234567895, 0.1234567885, 0.9999999995, 0.9999999994999, 4e-10, 5e-10, -0.25, 1.75, None]
+    values += [i / 7919 for i in range(0, 7919, 13)] + [(i + 0.5) / 1e9 for i in range(0, 10 ** 9, 3_333_333)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 3, 9, 12):
+        assert df.where(~rounded(F.col("x"), digits).eqNullSafe(F.round("x", digits))).isEmpty()
+
+
+def test_scores_are_worked_out_once_a_pair(persons):
+    """Edits are not counted again to test for NULL, nor is the total put into each filter and aggregate that names it."""
+    counts = score_histogram(match(*persons, MatchConfig(threshold=0.5, score_digits=9)))
+    lines = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    after = lines[:next(i for i, line in enumerate(lines) if "ArrowEvalPython" in line)]
+    assert sum(line.count("levenshtein(") for line in after) == 1
+    assert sum("name_soundex_score" in line and "* 0.15" in line for line in after) == 1
+    assert not any("decimal" in line for line in after)
