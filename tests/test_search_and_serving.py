@@ -172,3 +172,18 @@ def test_a_load_of_no_rows(spark, served, folder):
     assert serve.read_served(spark, f"{folder}/t").count() == 0
     assert serve.load_served(served, f"{folder}/t", "append", load_seq=1) == (served.count(), 0)
     assert serve.read_served(spark, f"{folder}/t").count() == served.count()
+
+
+def test_matches_are_compared_only_where_documents_repeat(persons, make):
+    """Without repeated documents nothing is shuffled by id; with some, the best match of each id is kept as before."""
+    a, b = persons
+    cfg = MatchConfig(score_digits=9)
+    plan = serve.served_matches(a, b, AS_OF, cfg)._jdf.queryExecution().optimizedPlan().toString()
+    assert "match_id" in plan and not any("Window" in line and "match_id" in line for line in plan.splitlines())
+    people = [("Ana Lima", "1980-01-01", "1", "Ativo"), ("Ana Lina", "1980-01-02", "1", "Ativo"), ("Ana Lima", "1980-01-01", "2", "Ativo"),
+              ("Ana Lima", "1980-01-01", None, "Ativo"), ("Ana Lima", "1980-01-01", "2", "Ativo")]
+    others = [("Ana Lima", "1980-01-01", "1", "Ativo"), ("Ana Lima", "1980-01-01", "3", "Ativo"), ("Ana Lime", "1980-01-01", "3", "Ativo"),
+              ("Ana Lima", "1980-01-01", "4", "Inativo"), ("Ana Lima", "1980-01-01", None, "Ativo")]
+    for c, e in ((make(*people), make(*others)), (make(*people), b), (a, make(*others)), (make(*people[:1]), make(*others[:2]))):
+        expect = serve.one_per_id(serve.served_documents(match(c, e, cfg), AS_OF)).drop("indexed_at")
+        assert rows(serve.served_matches(c, e, AS_OF, cfg).drop("indexed_at")) == rows(expect)
