@@ -1,4 +1,4 @@
-"""Pair similarity as column expressions; only Jaro-Winkler leaves the JVM, in Arrow batches."""
+"""Pair similarity as column expressions; only Jaro-Winkler, and edits beside it, leave the JVM, in Arrow batches."""
 
 from __future__ import annotations
 
@@ -73,7 +73,7 @@ def letters_apart(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
     return apart[0] + apart[1]
 
 
-def _jaro_winkler_udf():
+def _name_udfs():
     # Nested, so that the function travels to the workers by value.
     import numpy as np
     import pyarrow as pa
@@ -98,11 +98,10 @@ def _jaro_winkler_udf():
         out[inside] = points[(starts[rows][:, None] + cols)[inside]]
         return out
 
-    def jaro_winkler(a, b, la, lb):
-        # Pads differ between the sides, so they never count as common characters.
+    def places_by_row(a, b, window):
+        """Which characters of either side are common; one pass over all pairs per character of the left side."""
         n, wa = a.shape
         wb = b.shape[1]
-        window = np.maximum(np.maximum(la, lb) // 2 - 1, 0).astype(np.int32)
         reach = int(window.max())
         used_a = np.zeros(a.shape, dtype=bool)
         used_b = np.zeros(b.shape, dtype=bool)
@@ -117,6 +116,37 @@ def _jaro_winkler_udf():
             hit = free[every, at]
             used_a[hit, i] = True
             used_b[every[hit], at[hit] + lo] = True
+        return used_a, used_b
+
+    def places_by_column(a, b, window):
+        """The same with all pairs side by side, which takes whole runs of bytes: for many pairs of short texts."""
+        a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+        wa, wb = len(a), len(b)
+        near, far = int(window.min()), int(window.max())
+        inside = {d: window >= d for d in range(near + 1, far + 1)}
+        used_a = np.zeros(a.shape, dtype=bool)
+        free = np.ones(b.shape, dtype=bool)
+        for i in range(wa):
+            lo, hi = max(0, i - far), min(wb, i + far + 1)
+            if lo >= hi:
+                break
+            found, same = used_a[i], b[lo:hi] == a[i]
+            same &= free[lo:hi]
+            for j, hit in enumerate(same, lo):
+                np.greater(hit, found, out=hit)
+                if abs(i - j) > near:
+                    hit &= inside[abs(i - j)]
+                found |= hit
+                free[j] ^= hit
+        return np.ascontiguousarray(used_a.T), ~free.T
+
+    def jaro_winkler(a, b, la, lb):
+        # Pads differ between the sides, so they never count as common characters.
+        n, wa = a.shape
+        wb = b.shape[1]
+        window = np.maximum(np.maximum(la, lb) // 2 - 1, 0).astype(np.int32)
+        places = places_by_column if n > 8 * max(wa, wb) else places_by_row
+        used_a, used_b = places(a, b, window)
         common = used_a.sum(axis=1)
         row_of = np.nonzero(used_a)[0]
         moved = np.bincount(row_of, weights=a[used_a] != b[used_b], minlength=n)
@@ -127,14 +157,40 @@ def _jaro_winkler_udf():
         prefix = np.cumprod(a[:, :head] == b[:, :head], axis=1).sum(axis=1)
         return np.where(weight > 0.7, weight + prefix * 0.1 * (1.0 - weight), weight)
 
-    def score(left, right):
+    def edits(a, b, la, lb):
+        """Fewest edits, character by character through the left texts, with all pairs side by side."""
+        a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+        wb, n = b.shape
+        kind = np.uint8 if len(a) + wb < 255 else np.int32
+        out = lb.astype(np.int32)
+        row = np.repeat(np.arange(wb + 1, dtype=kind)[:, None], n, axis=1)
+        following, cost, more, step = np.empty_like(row), np.empty(b.shape, kind), np.empty(b.shape, kind), np.empty(n, kind)
+        steps = np.arange(1, wb + 1, dtype=np.int32)[:, None]
+        for i in range(len(a)):
+            np.add(row[:-1], b != a[i], out=cost)
+            np.add(row[1:], 1, out=more)
+            np.minimum(cost, more, out=cost)
+            following[0] = i + 1
+            if n > 8 * wb:
+                for j in range(wb):
+                    np.add(following[j], 1, out=step)
+                    np.minimum(cost[j], step, out=following[j + 1])
+            else:
+                following[1:] = np.minimum(np.minimum.accumulate(cost - steps, axis=0) + steps, i + 1 + steps)
+            row, following = following, row
+            at = np.nonzero(la == i + 1)[0]
+            out[at] = row[lb[at], at]
+        return out
+
+    def over(left, right, *kernels):
+        """What each kernel gives for the pairs of non-empty texts, 0 for the others."""
         pa_, la = code_points(left)
         pb_, lb = code_points(right)
         sa, sb = np.cumsum(la) - la, np.cumsum(lb) - lb
         pad_a, pad_b = 0xFFFFFFFF, 0xFFFFFFFE
         if max(pa_.max(initial=0), pb_.max(initial=0)) < 0xFE:   # one byte per character will do
             pa_, pb_, pad_a, pad_b = pa_.astype(np.uint8), pb_.astype(np.uint8), 0xFF, 0xFE
-        out = np.zeros(len(la))
+        out = [np.zeros(len(la)) for _ in kernels]
         todo = np.nonzero((la > 0) & (lb > 0))[0]
         longest = np.maximum(la, lb)
         todo = todo[np.argsort(longest[todo], kind="stable")]
@@ -143,18 +199,26 @@ def _jaro_winkler_udf():
             cost = longest[todo] * np.arange(1, len(todo) + 1)
             take = max(1, int(np.searchsorted(cost, cell_budget, side="right")))
             rows, todo = todo[:take], todo[take:]
-            out[rows] = jaro_winkler(
-                padded(pa_, sa, la, rows, int(la[rows].max()), pad_a),
-                padded(pb_, sb, lb, rows, int(lb[rows].max()), pad_b),
-                la[rows], lb[rows],
-            )
-        return pa.array(out, pa.float64())
+            a = padded(pa_, sa, la, rows, int(la[rows].max()), pad_a)
+            b = padded(pb_, sb, lb, rows, int(lb[rows].max()), pad_b)
+            for values, kernel in zip(out, kernels):
+                values[rows] = kernel(a, b, la[rows], lb[rows])
+        return out
+
+    def score(left, right):
+        return pa.array(over(left, right, jaro_winkler)[0], pa.float64())
+
+    def compare(left, right):
+        counted, jaro = over(left, right, edits, jaro_winkler)
+        return pa.StructArray.from_arrays([pa.array(counted.astype(np.int32)), pa.array(jaro, pa.float64())], ["edits", "jaro"])
 
     # Marked nondeterministic so that a filter on the score does not plan it a second time.
-    return F.arrow_udf(score, T.DoubleType()).asNondeterministic()
+    both = T.StructType().add("edits", T.IntegerType()).add("jaro", T.DoubleType())
+    return F.arrow_udf(score, T.DoubleType()).asNondeterministic(), F.arrow_udf(compare, both).asNondeterministic()
 
 
-jaro_winkler = _jaro_winkler_udf()
+# Of two texts: Jaro-Winkler; a struct of the edits between them and Jaro-Winkler. 0 where one is NULL or empty.
+jaro_winkler, edits_and_jaro_winkler = _name_udfs()
 
 
 def jaro_winkler_similarity(a: Column, b: Column) -> Column:

@@ -28,7 +28,7 @@ STRATEGIES = ("auto", "plain", "broadcast", "shuffle_hash", "salted")
 
 # Names of the technical columns.
 PASS, KEY, KEYS, SUB, SUBKEY, CELL = "_pass", "_key", "_keys", "_sub", "_subkey", "_cell"
-ROWS, SLICE = "_rows", "_slice"
+ROWS, SLICE, COMPARED = "_rows", "_slice", "_compared"
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,7 @@ class Bundles:
 
     `bound(left, right)` is a test that bundles pass if any two of their rows can; it may use `by` and `summary`.
     `extend` maps names to functions of (left, right), which may use `by`: columns worked out once a pair of bundles.
+    `compare` is worked out before them, as the column `_compared`, which they may use too.
     """
 
     by: list[str]
@@ -61,6 +62,7 @@ class Bundles:
     extend: dict[str, Callable] = field(default_factory=dict)
     derive: dict[str, Column] = field(default_factory=dict)   # worked out once a bundle, for `bound`
     max_rows: int = 64
+    compare: Callable | None = None
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -180,7 +182,7 @@ def pair_rows(
 ) -> DataFrame:
     """All (left, right) pairs that agree in some pass and satisfy `residual(left, right)`.
 
-    The result has two struct columns `l` and `r` and `_pass`. `residual` takes two functions
+    The result has two struct columns `l` and `r`, `_pass` and, without bundles, `_key`. `residual` takes two functions
     from column name to Column and is part of the join condition, so rejected pairs are never
     emitted. `passes` is the length of array keys. With `bundles`, the columns of `extend` follow.
     """
@@ -265,15 +267,17 @@ def pair_rows(
         return x.join(y, condition, "inner").select(
             F.struct(*[l(c) for c in cols_a]).alias("l"),
             F.struct(*[r(c) for c in cols_b]).alias("r"),
-            l(PASS).alias(PASS),
+            l(PASS).alias(PASS), l(KEY).alias(KEY),
         )
     if bundles.bound is not None:
         condition = condition & bundles.bound(l, r)
     met = x.join(y, condition, "inner").select(
         F.struct(*[l(c) for c in bundles.by + [ROWS]]).alias("l"), F.struct(*[r(c) for c in bundles.by + [ROWS]]).alias("r"),
         F.struct(*[l(c) for c in (PASS, SUB) if c in left.columns]).alias("x"))
-    shared = [fn(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")).alias(n) for n, fn in bundles.extend.items()]
-    pairs = met.select("*", *shared)
+    of_left, of_right = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
+    if bundles.compare is not None:
+        met = met.withColumn(COMPARED, bundles.compare(of_left, of_right))
+    pairs = met.select("*", *[fn(of_left, of_right).alias(n) for n, fn in bundles.extend.items()])
     names = list(bundles.extend)
     pairs = pairs.select("l", "r", "x", *names, F.explode(f"l.{ROWS}").alias("lr"))
     pairs = pairs.select("l", "r", "x", *names, "lr", F.explode(f"r.{ROWS}").alias("rr"))

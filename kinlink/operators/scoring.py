@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kinlink.functions.people import parse_date, phonetic_code
 from kinlink.functions.similarity import (
-    SLACK, codes_match, date_similarity, document_match, edits_similarity, jaro_winkler, jaro_winkler_similarity,
-    letter_bags, letters_apart, levenshtein_similarity, rounded,
+    SLACK, codes_match, date_similarity, document_match, edits_and_jaro_winkler, edits_similarity,
+    jaro_winkler_similarity, letter_bags, letters_apart, levenshtein_similarity, rounded,
 )
-from kinlink.operators.pairing import Bundles, SkewConfig
+from kinlink.operators.pairing import COMPARED, Bundles, SkewConfig
 from kinlink.schema import BIRTH, DOC, NAME
 
 
@@ -215,18 +215,18 @@ def name_bundles(cfg: MatchConfig, thresholded: bool = True) -> Bundles:
     summary = {DATES: F.bit_or(F.when(F.length(BIRTH) > 0, bit(F.col(BIRTH)))), MONTHS: dated(7), YEARS: dated(4),
                DOCS: F.bit_or(F.when(F.col(DOC).isNotNull(), bit(F.col(DOC))))}
     scores = {
-        # Never NULL; said so, Spark adds no test of it, which would count the edits twice.
-        "name_lev_score": lambda l, r: F.coalesce(edits_similarity(F.levenshtein(l(LOWER), r(LOWER)), l(LENGTH), r(LENGTH)), F.lit(0.0)),
-        "name_jaro_score": lambda l, r: jaro_winkler(l(LOWER), r(LOWER)),
+        "name_lev_score": lambda l, r: edits_similarity(F.col(f"{COMPARED}.edits"), l(LENGTH), r(LENGTH)),
+        "name_jaro_score": lambda l, r: F.col(f"{COMPARED}.jaro"),
         "name_soundex_score": lambda l, r: codes_match(l(CODE), r(CODE)),
     }
     by = [NAME, CODE, LOWER, LENGTH]
+    compare = lambda l, r: edits_and_jaro_winkler(l(LOWER), r(LOWER))
     if not thresholded:
-        return Bundles(by, extend=scores)
+        return Bundles(by, extend=scores, compare=compare)
     filled = lambda c, empty: F.coalesce(c, F.lit(empty))
     letters = {n: filled(c, 0) for n, c in zip(BAGS, letter_bags(F.col(LOWER)))} | {n: filled(F.col(n), 0) for n in summary} | {
         LOWER_LENGTH: filled(F.length(LOWER), 0), NAME_LENGTH: filled(F.col(LENGTH), 0), FILLED_CODE: filled(F.col(CODE), "")}
-    return Bundles(by, summary, lambda l, r: bundles_can_reach(l, r, cfg), scores, letters)
+    return Bundles(by, summary, lambda l, r: bundles_can_reach(l, r, cfg), scores, letters, compare=compare)
 
 
 def pair_condition(cfg: MatchConfig, thresholded: bool = True):

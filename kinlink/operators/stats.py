@@ -20,8 +20,9 @@ def match_stats(served: DataFrame) -> DataFrame:
 
 
 def score_bucket(score: Column) -> Column:
-    """Tenths; rounding first keeps 0.7 in [0.7, 0.8)."""
-    return F.floor(F.round(score * 10, 9)).cast("int")
+    """Tenths; rounding first keeps 0.7 in [0.7, 0.8). Only just below a tenth, or on it, can rounding matter; it is slow."""
+    tenths = score * 10
+    return F.when(F.ceil(tenths) - tenths > 1e-8, F.floor(tenths)).otherwise(F.floor(F.round(tenths, 9))).cast("int")
 
 
 def score_histogram(matches: DataFrame) -> DataFrame:

@@ -314,3 +314,34 @@ def test_scores_are_worked_out_once_a_pair(persons):
     assert sum(line.count("levenshtein(") for line in after) == 1
     assert sum("name_soundex_score" in line and "* 0.15" in line for line in after) == 1
     assert not any("decimal" in line for line in after)
+
+
+def test_edits_and_jaro_winkler_are_counted_together(spark):
+    """As the functions apart, for many short texts (pairs side by side) and for few long ones, of any characters."""
+    import random
+
+    from kinlink.functions.similarity import edits_and_jaro_winkler, jaro_winkler
+    draw = random.Random(3)
+    text = lambda letters, most: "".join(draw.choice(letters) for _ in range(draw.randint(0, most)))
+    pairs = [(text("abcé", 12), text("abcé", 12)) for _ in range(900)] + [(text("abł漢", 9), text("abł漢", 9)) for _ in range(300)]
+    pairs += [(text("ab ", 300), text("ab ", 300)) for _ in range(20)] + [(None, "a"), ("", "a"), ("a", None)]
+    df = spark.createDataFrame(pairs, "a string, b string").repartition(2).cache()
+    got = df.select("a", "b", edits_and_jaro_winkler("a", "b").alias("c"), jaro_winkler("a", "b").alias("j"), F.levenshtein("a", "b").alias("e"))
+    for r in got.collect():
+        assert r["c"]["edits"] == (r["e"] if r["a"] and r["b"] else 0) and r["c"]["jaro"] == r["j"], r
+
+
+def test_names_of_bundles_meet_python_once(persons):
+    """Edits that make the score come with Jaro-Winkler; those that rule pairs out are in the join only."""
+    plan = match(*persons, MatchConfig(threshold=0.5, score_digits=9))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert not [line for line in plan.splitlines() if "levenshtein(" in line and "Join" not in line]
+
+
+def test_tenths_are_those_of_rounded_scores(spark):
+    from kinlink.operators.stats import score_bucket
+    scores = [0.0, 1.0, None, -0.25] + [i / 10 + e for i in range(11) for e in (0, 4e-11, -4e-11, 5e-11, -5e-11, -6e-11, 1e-9, -1e-9, 2e-9, -2e-9, 0.05)]
+    df = spark.createDataFrame([(s,) for s in scores], "s double")
+    got = df.select(score_bucket(F.col("s")).alias("fast"), F.floor(F.round(F.col("s") * 10, 9)).cast("int").alias("plain"))
+    assert all(r["fast"] == r["plain"] for r in got.collect())
+    assert "CASE WHEN" in got._jdf.queryExecution().optimizedPlan().toString()
