@@ -345,3 +345,11 @@ def test_tenths_are_those_of_rounded_scores(spark):
     got = df.select(score_bucket(F.col("s")).alias("fast"), F.floor(F.round(F.col("s") * 10, 9)).cast("int").alias("plain"))
     assert all(r["fast"] == r["plain"] for r in got.collect())
     assert "CASE WHEN" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_candidates_take_their_key_from_the_join(persons):
+    for blocks in (("prefix",), ("prefix", "phonetic")):
+        found = candidate_pairs(*persons, MatchConfig(blocks=blocks, max_age_gap=5))
+        lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        above = lines[:next(i for i, line in enumerate(lines) if "Join" in line)]
+        assert above and not [line for line in above if "concat_ws" in line]
