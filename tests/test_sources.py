@@ -134,6 +134,25 @@ def test_refresh_and_increment(spark, persons, folder):
     assert rows(tables.read_matches(spark, third)) == rows(match(a, b.where(n % 2 == 0)))
 
 
+def test_increment_shuffles_only_what_it_found(spark, persons, folder, monkeypatch):
+    from kinlink.plans import refresh as module
+    p1, p2, state, out = (f"{folder}/{n}" for n in ("a", "b", "state", "out"))
+    a, b = persons
+    early = F.col("nr_documento").cast("long") % 3 > 0
+    sinks.write_persons(a.where(early), p1)
+    sinks.write_persons(b, p2)
+    first = refresh(spark, p1, p2, state, out, at=at(1))
+    a.where(~early).write.mode("append").parquet(p1)
+    seen = []
+    monkeypatch.setattr(module, "write_matches", lambda df, *rest, **how: (seen.append((df, how)), sinks.write_matches(df, *rest, **how)))
+    second = refresh_increment(spark, p1, p2, state, first, out, at=at(2))
+    (df, how), = seen
+    logical = df._jdf.queryExecution().optimizedPlan().toString()
+    assert how == {"even": False} and logical.count("RebalancePartitions") == 1
+    assert logical.index("Union") < logical.index("RebalancePartitions")
+    assert rows(tables.read_matches(spark, second)) == rows(match(a, b))
+
+
 def test_failed_run_is_tried_again(spark, persons, folder, monkeypatch):
     from kinlink.plans import refresh as module
     sinks.write_persons(persons[0], f"{folder}/a")
