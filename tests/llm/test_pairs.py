@@ -314,3 +314,52 @@ def test_small_and_large_cells_give_links_of_one_kind():
     assert linked["large"] <= linked["small"] and len(linked["large"]) == 24
     assert all(a % 12 == b % 12 for a, b in map(tuple, linked["small"]))
     assert [b.num_rows for b in line_dedup._cells(iter([]))] == [0]
+
+
+def test_hubs_and_members_of_buckets(spark):
+    """Packed rows give every bucket's ids their smallest one, from one task and from several, hot buckets included."""
+    from kinlink.llm import buckets as B, kernels as K
+    rng = random.Random(3)
+    rows = [(rng.choice([-7, 5, 1 << 62, rng.randrange(-300, 300)]), rng.randrange(-400, 400)) for _ in range(4000)]
+    keys = lambda batch: (batch.column(0).to_numpy(), batch.column(1).to_numpy())
+    held = {}
+    for bucket, own in rows:
+        held.setdefault(bucket, set()).add(own)
+    for tasks in (1, 5):
+        table = spark.createDataFrame(rows, "bucket bigint, id bigint").repartition(tasks)
+        got = [tuple(r) for r in B.star_pairs(table, keys).collect()]
+        near = {}
+        for bucket, hub, member in got:
+            assert hub < member
+            near.setdefault(bucket, {}).setdefault(member, set()).add(hub)
+        for bucket, ids in held.items():
+            least = min(ids)
+            found = near.get(bucket, {})
+            assert set(found) | {least} == ids
+            assert all(h == least or least in found[h] for hubs in found.values() for h in hubs)
+    assert B.star_pairs(spark.createDataFrame([], "bucket bigint, id bigint"), keys).count() == 0
+    ids = np.arange(50_000)
+    sent = B._local(K.mix(ids.astype(K.U)).view(np.int64), ids)
+    assert sum(len(x) for x in sent.column(1).to_pylist()) == 16 * len(ids) and sent.num_rows <= B.PARTS
+
+
+def test_shuffles_of_written_tables_are_deleted(spark):
+    import os
+    import time
+
+    from kinlink.llm import store
+    from kinlink.sources import scratch
+
+    def shuffled():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in dirs for at, _, files in os.walk(d.getPath()) for f in files if f.startswith("shuffle_")}
+
+    for written in (store.written, scratch.written):
+        before = shuffled()
+        rows = written(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+        for _ in range(100):
+            if not (left := shuffled() - before):
+                break
+            time.sleep(0.1)
+        assert not left and rows.count() == 7
+    assert spark.conf.get(scratch.CLEANUP) == "false"
